@@ -81,17 +81,28 @@ def add_rolling(slots: DataFrame) -> DataFrame:
     return _look_back(slots, mean, WEEK).fillna(0.0, subset=["rolling_7d_mean"])
 
 
+_HISTORY = {
+    "demand_lag_1d": (F.max, -DAY, -DAY),
+    "demand_lag_7d": (F.max, -WEEK, -WEEK),
+    "rolling_7d_mean": (F.avg, -WEEK, -1),
+}
+
+
 def add_history(slots: DataFrame) -> DataFrame:
     """Both lags and the rolling mean in one pass over the same windows."""
-    looks = {
-        "demand_lag_1d": (F.max("demand"), -DAY, -DAY),
-        "demand_lag_7d": (F.max("demand"), -WEEK, -WEEK),
-        "rolling_7d_mean": (F.avg("demand"), -WEEK, -1),
-    }
+    looks = {name: (agg("demand"), low, high) for name, (agg, low, high) in _HISTORY.items()}
     return _look_back(slots, looks, WEEK).fillna(0, subset=["demand_lag_1d", "demand_lag_7d"]) \
         .fillna(0.0, subset=["rolling_7d_mean"])
 
 
+def history_at(wanted: DataFrame, slots: DataFrame) -> DataFrame:
+    """Lags and rolling mean for distinct (zone_id, slot_ts) rows, whether or not they had trips."""
+    known = slots.select("zone_id", "slot_ts", "demand", F.lit(False).alias("_wanted"))
+    asked = wanted.select("zone_id", "slot_ts", F.lit(None).cast("bigint").alias("demand"),
+                          F.lit(True).alias("_wanted"))
+    return add_history(known.unionByName(asked)).filter("_wanted").drop("_wanted", "demand")
+
+
 def feature_matrix(trips: DataFrame, weather: DataFrame | None = None) -> DataFrame:
     slots = add_weather(add_temporal(slot_demand(trips)), weather)
     return add_history(slots).select(

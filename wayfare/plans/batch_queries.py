@@ -10,24 +10,11 @@ from wayfare.functions.casts import first_present
 from wayfare.operators import demand, features, kpi, pings, quality, trips
 from wayfare.plans import fixtures as fx
 from wayfare.plans.fixtures import CITY, hex_sql, with_tables
-from wayfare.plans.registry import query
+from wayfare.plans.registry import once, query
 from wayfare.session import scratch_path
 from wayfare.sources import files
 from wayfare.zones import ZONES, zone_table
 
-_written: dict[tuple, str] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
-    """Path of a derived table that several queries read; written by the first of them."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written:
-        path = scratch_path(spark, name)
-        write(path)
-        _written[key] = path
-    return _written[key]
-
-
 # --- sources -------------------------------------------------------------------------------
 
 _HISTORY = "TRIP_ID, CALL_TYPE, ORIGIN_CALL, ORIGIN_STAND, TAXI_ID, \"TIMESTAMP\", DAY_TYPE, " \
@@ -35,8 +22,11 @@ _HISTORY = "TRIP_ID, CALL_TYPE, ORIGIN_CALL, ORIGIN_STAND, TAXI_ID, \"TIMESTAMP\
 
 
 def _history_csv(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "history_csv", lambda path: fx.trip_history(spark, sf_dir)
-                 .write.csv(path, header=True, escape='"'))
+    def write(path: str) -> str:
+        fx.trip_history(spark, sf_dir).write.csv(path, header=True, escape='"')
+        return path
+
+    return once(spark, sf_dir, "history_csv", write)
 
 
 @query("src_csv_schema", with_tables("trip_history", f"SELECT {_HISTORY} FROM trip_history"))
@@ -146,9 +136,8 @@ _HOURLY = """SELECT PULocationID, tpep_pickup_datetime::DATE AS pickup_date,
     GROUP BY ALL"""
 
 
-@query("sink_parquet", with_tables("nyc_trips", f"""
-    SELECT {', '.join(c for c, *_ in [('tpep_pickup_datetime',), ('PULocationID',),
-                                      ('DOLocationID',), ('trip_distance',), ('fare_amount',)])}
+@query("sink_parquet", with_tables("nyc_trips", """
+    SELECT tpep_pickup_datetime, PULocationID, DOLocationID, trip_distance, fare_amount
     FROM nyc_trips"""))
 def _(spark, sf_dir):
     path = scratch_path(spark, "nyc")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.session import prepare
+from wayfare.session import prepare, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,3 +28,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return build
 
     return register
+
+
+_kept: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], object]) -> object:
+    """Make something that several queries of a session share; ``make`` gets an unused path."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _kept:
+        _kept[key] = make(scratch_path(spark, name))
+    return _kept[key]
