@@ -15,48 +15,51 @@ from wayfare.functions.casts import to_double, to_int, to_long
 SCHEMA_VERSION = "1.0.0"
 
 
-def _fields(df: DataFrame, ddl: str, value: str) -> DataFrame:
-    kept = [name for name in df.columns if name != value]
-    return df.withColumn("_m", F.from_json(F.col(value), ddl)).select(*kept, "_m.*")
+def _fields(df: DataFrame, names: list[str], value: str) -> DataFrame:
+    """The named fields as text, read in one pass over the message.
+
+    ``json_tuple`` is a generator: conditions on the fields stay above it, whereas a condition on
+    ``from_json`` would be pushed down together with another copy of the parsing.
+    """
+    kept = [F.col(name) for name in df.columns if name != value]
+    return df.select(*kept, F.json_tuple(value, *names).alias(*[f"_{name}" for name in names]))
 
 
 def parse_gps(df: DataFrame, value: str = "value") -> DataFrame:
     kept = [name for name in df.columns if name != value]
-    typed = _fields(df, schemas.GPS_MESSAGE, value).select(
+    return _fields(df, schemas.GPS_FIELDS, value).select(
         *kept,
-        to_int(F.col("taxi_id")).alias("taxi_id"),
-        to_long(F.col("timestamp")).alias("event_time"),
-        to_double(F.col("latitude")).alias("latitude"),
-        to_double(F.col("longitude")).alias("longitude"),
-        to_double(F.col("speed")).alias("speed"),
-        F.col("status"),
-    )
-    return typed.dropna(
-        subset=["taxi_id", "event_time", "latitude", "longitude", "speed", "status"])
+        to_int(F.col("_taxi_id")).alias("taxi_id"),
+        to_long(F.col("_timestamp")).alias("event_time"),
+        to_double(F.col("_latitude")).alias("latitude"),
+        to_double(F.col("_longitude")).alias("longitude"),
+        to_double(F.col("_speed")).alias("speed"),
+        F.col("_status").alias("status"),
+    ).dropna(subset=["taxi_id", "event_time", "latitude", "longitude", "speed", "status"])
 
 
 def parse_gps_norm(df: DataFrame, value: str = "value") -> DataFrame:
     """Normalised pings as supply rows: kind, zone, time (s), entity, status."""
     kept = [name for name in df.columns if name != value]
-    return _fields(df, schemas.GPS_NORMALISED_MESSAGE, value).select(
+    return _fields(df, ["zone_id", "event_time", "taxi_id", "status"], value).select(
         *kept,
         F.lit("vehicle").alias("kind"),
-        to_int(F.col("zone_id")).alias("zone_id"),
-        to_long(F.col("event_time")).alias("event_time"),
-        F.col("taxi_id").alias("entity_id"),
-        F.coalesce("status", F.lit("UNKNOWN")).alias("status"),
+        to_int(F.col("_zone_id")).alias("zone_id"),
+        to_long(F.col("_event_time")).alias("event_time"),
+        F.col("_taxi_id").alias("entity_id"),
+        F.coalesce("_status", F.lit("UNKNOWN")).alias("status"),
     ).dropna(subset=["zone_id", "event_time", "entity_id"])
 
 
 def parse_trip(df: DataFrame, value: str = "value") -> DataFrame:
     """Trip requests as demand rows of the same shape; the time keeps the sender's unit."""
     kept = [name for name in df.columns if name != value]
-    return _fields(df, schemas.TRIP_MESSAGE, value).select(
+    return _fields(df, ["origin_zone", "requested_at", "trip_id"], value).select(
         *kept,
         F.lit("trip").alias("kind"),
-        to_int(F.col("origin_zone")).alias("zone_id"),
-        to_long(F.col("requested_at")).alias("event_time"),
-        F.col("trip_id").alias("entity_id"),
+        to_int(F.col("_origin_zone")).alias("zone_id"),
+        to_long(F.col("_requested_at")).alias("event_time"),
+        F.col("_trip_id").alias("entity_id"),
         F.lit("PENDING").alias("status"),
     ).dropna(subset=["zone_id", "event_time", "entity_id"])
 
@@ -79,41 +82,35 @@ def clean_rider_id(df: DataFrame, column: str = "rider_id") -> DataFrame:
 
 
 def match_events(df: DataFrame) -> DataFrame:
-    """Tagged messages of both kinds as the matcher's typed input, times in milliseconds.
+    """Tagged messages of both kinds as the matcher's typed input.
 
     Missing fields take their defaults: zone 0, position 0.0, speed 30, status AVAILABLE.
     """
-    ping = F.from_json("payload", "taxi_id string, zone_id string, centroid_lat string, "
-                       "latitude string, centroid_lon string, longitude string, "
-                       "speed_kmh string, speed string, status string, event_time string, "
-                       "timestamp string")
-    trip = F.from_json("payload", schemas.TRIP_MESSAGE)
-    from_ping = F.col("source") == "gps"
-    wide = df.withColumn("_p", F.when(from_ping, ping)).withColumn("_t", F.when(~from_ping, trip))
-
-    def first(*names: str) -> Column:
-        return F.coalesce(*[F.col(f"_p.{name}") for name in names])
-
-    seconds = F.coalesce(to_long(first("event_time", "timestamp")),
-                         to_long(F.col("_t.requested_at")))
+    names = list(dict.fromkeys(
+        [*schemas.GPS_NORMALISED_FIELDS, *schemas.GPS_FIELDS, *schemas.TRIP_FIELDS]))
+    wide = _fields(df, names, "payload")
+    ping, request = F.col("source") == "gps", F.col("source") == "trip"
+
+    def first(convert, default, *fields: str) -> Column:
+        return F.coalesce(*[convert(F.col(f"_{name}")) for name in fields], F.lit(default))
+
     return wide.select(
         "city",
-        F.when(from_ping, "ping").otherwise("request").alias("kind"),
-        F.when(from_ping, F.col("_p.taxi_id")).otherwise(F.col("_t.trip_id")).alias("entity_id"),
-        F.coalesce(to_int(F.when(from_ping, F.col("_p.zone_id")).otherwise(
-            F.col("_t.origin_zone"))), F.lit(0)).alias("zone_id"),
-        seconds.alias("event_time"),
-        F.when(from_ping, F.coalesce(to_double(first("centroid_lat", "latitude")), F.lit(0.0)))
-         .otherwise(to_double(F.col("_t.origin_lat"))).alias("latitude"),
-        F.when(from_ping, F.coalesce(to_double(first("centroid_lon", "longitude")), F.lit(0.0)))
-         .otherwise(to_double(F.col("_t.origin_lon"))).alias("longitude"),
-        F.when(from_ping, F.coalesce(to_double(first("speed_kmh", "speed")), F.lit(30.0)))
-         .alias("speed"),
-        F.when(from_ping, F.coalesce(F.col("_p.status"), F.lit("AVAILABLE"))).alias("status"),
-        F.when(~from_ping, F.coalesce(F.col("_t.rider_id"), F.lit("0"))).alias("rider_id"),
-        F.when(~from_ping, F.coalesce(to_int(F.col("_t.destination_zone")), F.lit(0)))
-         .alias("destination_zone"),
-        F.when(~from_ping, F.coalesce(F.col("_t.call_type"), F.lit("A"))).alias("call_type"),
+        F.when(ping, "ping").otherwise("request").alias("kind"),
+        F.when(ping, F.col("_taxi_id")).otherwise(F.col("_trip_id")).alias("entity_id"),
+        F.when(ping, first(to_int, 0, "zone_id")).otherwise(first(to_int, 0, "origin_zone"))
+        .alias("zone_id"),
+        F.when(ping, F.coalesce(to_long(F.col("_event_time")), to_long(F.col("_timestamp"))))
+        .otherwise(to_long(F.col("_requested_at"))).alias("event_time"),
+        F.when(ping, first(to_double, 0.0, "centroid_lat", "latitude"))
+        .otherwise(to_double(F.col("_origin_lat"))).alias("latitude"),
+        F.when(ping, first(to_double, 0.0, "centroid_lon", "longitude"))
+        .otherwise(to_double(F.col("_origin_lon"))).alias("longitude"),
+        F.when(ping, first(to_double, 30.0, "speed_kmh", "speed")).alias("speed"),
+        F.when(ping, first(lambda c: c, "AVAILABLE", "status")).alias("status"),
+        F.when(request, first(lambda c: c, "0", "rider_id")).alias("rider_id"),
+        F.when(request, first(to_int, 0, "destination_zone")).alias("destination_zone"),
+        F.when(request, first(lambda c: c, "A", "call_type")).alias("call_type"),
     ).filter(F.col("entity_id").isNotNull())
 
 

@@ -21,21 +21,21 @@ def valid_pings(df: DataFrame, area: dict = SERVICE_AREA, max_speed: float = MAX
     )
 
 
-def zone_of(lat: Column, lon: Column, zones: list[Zone] = ZONES) -> Column:
+def zone_of(lat: str, lon: str, zones: list[Zone] = ZONES) -> Column:
     """Lowest id among the boxes that hold the position, 99 if none does."""
     if len(zones) > MAX_INLINE_ZONES:
         raise ValueError("pass large zone sets as a table to assign_zone_table")
-    result = F
-    for zone in sorted(zones):
-        inside = lat.between(zone.min_lat, zone.max_lat) & lon.between(zone.min_lon, zone.max_lon)
-        result = result.when(inside, zone.zone_id)
-    return result.otherwise(OUTSIDE)
+    boxes = " ".join(
+        f"WHEN `{lat}` BETWEEN {z.min_lat!r}D AND {z.max_lat!r}D "
+        f"AND `{lon}` BETWEEN {z.min_lon!r}D AND {z.max_lon!r}D THEN {z.zone_id}"
+        for z in sorted(zones))
+    return F.expr(f"CASE {boxes} ELSE {OUTSIDE} END")
 
 
 def assign_zone(
     df: DataFrame, lat: str = "latitude", lon: str = "longitude", zones: list[Zone] = ZONES,
 ) -> DataFrame:
-    return df.withColumn("zone_id", zone_of(F.col(lat), F.col(lon), zones))
+    return df.withColumn("zone_id", zone_of(lat, lon, zones))
 
 
 def drop_outside(df: DataFrame) -> DataFrame:
@@ -44,8 +44,12 @@ def drop_outside(df: DataFrame) -> DataFrame:
 
 def zone_attribute(name: str, zones: list[Zone] = ZONES, zone_id: str = "zone_id") -> Column:
     """A zone's attribute by its id, null for an unknown id."""
-    pairs = [F.lit(part) for zone in zones for part in (zone.zone_id, getattr(zone, name))]
-    return F.try_element_at(F.create_map(*pairs), F.col(zone_id))
+    def literal(value) -> str:
+        return f"{value!r}D" if isinstance(value, float) else \
+            "'" + str(value).replace("'", "\\'") + "'"
+
+    cases = " ".join(f"WHEN {z.zone_id} THEN {literal(getattr(z, name))}" for z in zones)
+    return F.expr(f"CASE `{zone_id}` {cases} END")
 
 
 def anonymize(

@@ -243,7 +243,7 @@ def _(spark, sf_dir):
       AND (trip_id::BIGINT % 5 = 0 OR trip_id::BIGINT % 11 <> 0)"""))
 def _(spark, sf_dir):
     requests = fx.trip_messages(spark, sf_dir).select(
-        F.from_json("value", schemas.TRIP_MESSAGE).alias("m")).select("m.trip_id", "m.rider_id")
+        F.json_tuple("value", "trip_id", "rider_id").alias("trip_id", "rider_id"))
     return messages.clean_rider_id(requests)
 
 

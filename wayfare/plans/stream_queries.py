@@ -242,14 +242,14 @@ def _(spark, sf_dir):
     stream = matcher.match_stream(
         _topic(spark, sf_dir, "processed.gps"), _topic(spark, sf_dir, "raw.trips"), CITY)
     running = jobs.start_table(stream, path, scratch_path(spark, "checkpoint"),
-                               {"processingTime": "1 second"})
+                               {"processingTime": "3 seconds"})
     read_at = None
     while running.isActive:
-        time.sleep(0.5)
+        time.sleep(0.1)
         if read_at is None and any(p.numInputRows for p in running.recentProgress):
             read_at = time.monotonic()
         # five seconds of waiting, then the trigger in which the timer runs
-        if read_at is not None and time.monotonic() - read_at > 9 and \
+        if read_at is not None and time.monotonic() - read_at > 10 and \
                 not running.status["isTriggerActive"]:
             break
     failure = running.exception()

@@ -7,25 +7,16 @@ TRIP_HISTORY = (
 )
 TRIP_REMAPPED = "TRIP_ID string, TAXI_ID int, TIMESTAMP bigint, CASA_POLYLINE string"
 
-# Messages are read with text fields first: numbers may arrive quoted (functions/messages.py).
-GPS_MESSAGE = (
-    "taxi_id string, timestamp string, latitude string, longitude string, "
-    "speed string, status string"
-)
-GPS_NORMALISED_MESSAGE = (
-    "schema_version string, event_type string, event_time string, ingested_at string, "
-    "taxi_id string, zone_id string, zone_name string, centroid_lat string, "
-    "centroid_lon string, speed_kmh string, status string"
-)
-TRIP_MESSAGE = (
-    "trip_id string, rider_id string, origin_zone string, destination_zone string, "
-    "requested_at string, call_type string, origin_lat string, origin_lon string"
-)
-MATCH_MESSAGE = (
-    "city string, date_bucket string, created_at string, trip_id string, rider_id string, "
-    "origin_zone string, destination_zone string, call_type string, matched_taxi string, "
-    "eta_seconds string, status string"
-)
+# Fields of the messages. They are read as text first: numbers may arrive quoted.
+GPS_FIELDS = ["taxi_id", "timestamp", "latitude", "longitude", "speed", "status"]
+GPS_NORMALISED_FIELDS = [
+    "schema_version", "event_type", "event_time", "ingested_at", "taxi_id", "zone_id",
+    "zone_name", "centroid_lat", "centroid_lon", "speed_kmh", "status",
+]
+TRIP_FIELDS = [
+    "trip_id", "rider_id", "origin_zone", "destination_zone", "requested_at", "call_type",
+    "origin_lat", "origin_lon",
+]
 
 MATCH = (
     "city string, date_bucket string, created_at bigint, trip_id string, rider_id int, "
