@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from wayfare.functions.frames import complete, computed_once
 from wayfare.functions.noise import uniform
 
 # Fixed cleaning rules for New York trips: column, comparison, bound.
@@ -96,8 +97,7 @@ def fill_nyc(df: DataFrame) -> DataFrame:
 
 
 def clean_nyc(df: DataFrame, rules: list[tuple] = NYC_RULES) -> DataFrame:
-    return fill_nyc(df).filter(nyc_condition(rules)).dropna(
-        subset=["PULocationID", "DOLocationID"])
+    return complete(fill_nyc(df).filter(nyc_condition(rules)), ["PULocationID", "DOLocationID"])
 
 
 def with_duration(
@@ -149,34 +149,42 @@ def sample_trips(
         "_draw", key, *order).limit(limit).drop("_draw")
 
 
+_NUMERIC = "^(BIGINT|DECIMAL|DOUBLE)"
+
+
+def _readings(properties: dict) -> dict[str, Column]:
+    """What the rules of each property look at: its JSON type, its number, its text."""
+    found = {}
+    for name, rule in properties.items():
+        path = f"$.{name}"
+        found[f"_kind_{name}"] = F.schema_of_variant(F.try_variant_get("_doc", path, "variant"))
+        if {"minimum", "maximum"} & rule.keys() or rule.get("type") == "integer":
+            found[f"_number_{name}"] = F.try_variant_get("_doc", path, "double")
+        if {"const", "enum"} & rule.keys():
+            found[f"_text_{name}"] = F.try_variant_get("_doc", path, "string")
+    return found
+
+
 def _violations(name: str, rule: dict) -> list[tuple[str, Column]]:
-    """Reasons why a present property breaks its rule."""
-    path = f"$.{name}"
-    piece = F.try_variant_get("_doc", path, "variant")
-    kind = F.schema_of_variant(piece)
-    number = F.try_variant_get("_doc", path, "double")
-    text = F.try_variant_get("_doc", path, "string")
-    is_number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE)")
-    if rule.get("type") == "string":
-        typed = kind == "STRING"
-    elif rule.get("type") == "integer":
-        typed = is_number & (number == F.floor(number))
-    elif rule.get("type") == "number":
-        typed = is_number
-    else:
-        typed = F.lit(True)
-    checks = [("type", typed)]
+    """Reasons why a present property breaks its rule, each with its condition."""
+    kind, number, text = (F.col(f"_{what}_{name}") for what in ("kind", "number", "text"))
+    wanted = rule.get("type")
+    broken = []
+    if wanted == "string":
+        broken.append(("type", kind != "STRING"))
+    elif wanted == "integer":
+        broken.append(("type", ~kind.rlike(_NUMERIC) | (number != F.floor(number))))
+    elif wanted == "number":
+        broken.append(("type", ~kind.rlike(_NUMERIC)))
     if "const" in rule:
-        checks.append(("const", text == str(rule["const"])))
+        broken.append(("const", text != str(rule["const"])))
     if "enum" in rule:
-        checks.append(("enum", text.isin([str(item) for item in rule["enum"]])))
+        broken.append(("enum", ~text.isin([str(item) for item in rule["enum"]])))
     if "minimum" in rule:
-        checks.append(("minimum", number >= rule["minimum"]))
+        broken.append(("minimum", number < rule["minimum"]))
     if "maximum" in rule:
-        checks.append(("maximum", number <= rule["maximum"]))
-    return [
-        (f"{label}:{name}", piece.isNotNull() & ~F.coalesce(passed, F.lit(label != "type")))
-        for label, passed in checks]
+        broken.append(("maximum", number > rule["maximum"]))
+    return [(f"{label}:{name}", condition) for label, condition in broken]
 
 
 def validate(df: DataFrame, contract: dict, value: str = "value") -> DataFrame:
@@ -185,7 +193,6 @@ def validate(df: DataFrame, contract: dict, value: str = "value") -> DataFrame:
     Supports type, const, enum, minimum, maximum, required and additionalProperties.
     """
     properties = contract["properties"]
-    keys = F.json_object_keys(value)
     required = [
         F.when(~F.array_contains("_keys", name), f"required:{name}")
         for name in contract.get("required", [])]
@@ -198,11 +205,11 @@ def validate(df: DataFrame, contract: dict, value: str = "value") -> DataFrame:
         extra = F.transform(F.array_except("_keys", known),
                             lambda name: F.concat(F.lit("unexpected:"), name))
     found = F.array_sort(F.concat(F.array_compact(F.array(*required, *broken)), extra))
-    return (
-        df.withColumn("_keys", keys).withColumn("_doc", F.try_parse_json(value))
-        .withColumn("reasons", F.when(F.col("_keys").isNull(), F.array(F.lit("not an object")))
-                    .otherwise(found))
-        .drop("_keys", "_doc"))
+    parsed = computed_once(df, _keys=F.json_object_keys(value), _doc=F.try_parse_json(value))
+    read = computed_once(parsed, **_readings(properties))
+    return read.withColumn(
+        "reasons", F.when(F.col("_keys").isNull(), F.array(F.lit("not an object")))
+        .otherwise(found)).drop("_keys", "_doc", *_readings(properties))
 
 
 def conforming(validated: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfare.functions import noise
+from wayfare.functions.frames import complete, computed_once
 from wayfare.functions.geo import hex_cell, rescale
 from wayfare.functions.times import seconds_to_timestamp, year_month
 from wayfare.operators.pings import assign_zone, drop_outside
@@ -24,7 +25,7 @@ POINTS = "array<array<double>>"
 
 def parse_polyline(df: DataFrame, column: str, into: str = "coords") -> DataFrame:
     """JSON text to [[lon, lat], ...]; text that does not parse becomes null."""
-    return df.withColumn(into, F.from_json(F.col(column), POINTS))
+    return computed_once(df, **{into: F.from_json(F.col(column), POINTS)})
 
 
 def nonempty(df: DataFrame, coords: str = "coords") -> DataFrame:
@@ -55,25 +56,23 @@ def add_times(df: DataFrame, epoch: str = "TIMESTAMP") -> DataFrame:
 
 
 def remap_points(
-    coords: Column, source: dict = SOURCE_BOX, target: dict = TARGET_BOX,
+    df: DataFrame, coords: str = "coords", source: dict = SOURCE_BOX, target: dict = TARGET_BOX,
     max_lon: float = MAX_TARGET_LON,
-) -> Column:
+) -> DataFrame:
     """Move every vertex from the source to the target box.
 
     A trip with a malformed vertex, or one that would end up beyond ``max_lon``, becomes empty.
     """
-    well_formed = F.forall(coords, lambda p: (F.size(p) == 2) & p[0].isNotNull()
-                           & p[1].isNotNull())
-    moved = F.transform(coords, lambda p: F.array(
+    sound = F.forall(coords, lambda p: (F.size(p) == 2) & p[0].isNotNull() & p[1].isNotNull())
+    moved = F.when(sound, F.transform(coords, lambda p: F.array(
         rescale(p[0], source["lon"], target["lon"]),
-        rescale(p[1], source["lat"], target["lat"])))
-    at_sea = F.exists(moved, lambda p: p[0] > max_lon)
-    inside = F.filter(moved, lambda p: p[0].between(*target["lon"])
+        rescale(p[1], source["lat"], target["lat"]))))
+    at_sea = F.exists("_moved", lambda p: p[0] > max_lon)
+    inside = F.filter("_moved", lambda p: p[0].between(*target["lon"])
                       & p[1].between(*target["lat"]))
     empty = F.array().cast(POINTS)
-    return F.coalesce(
-        F.when(F.coalesce(well_formed, F.lit(False)), F.when(at_sea, empty).otherwise(inside)),
-        empty)
+    return computed_once(df, _moved=moved).withColumn(
+        coords, F.coalesce(F.when(~at_sea, inside), empty)).drop("_moved")
 
 
 def remap_polyline(
@@ -81,9 +80,9 @@ def remap_polyline(
     target: dict = TARGET_BOX, max_lon: float = MAX_TARGET_LON,
 ) -> DataFrame:
     """Remapped polyline as JSON text, '[]' where a trip cannot be mapped."""
-    parsed = parse_polyline(df, column, "_points").withColumn(
-        "_points", remap_points(F.col("_points"), source, target, max_lon))
-    return parsed.withColumn(into, F.to_json("_points")).drop("_points")
+    parsed = parse_polyline(df, column, "_points")
+    moved = remap_points(parsed, "_points", source, target, max_lon)
+    return computed_once(moved, **{into: F.to_json("_points")}).drop("_points")
 
 
 def polyline_to_pings(df: DataFrame, column: str = "CASA_POLYLINE") -> DataFrame:
@@ -154,10 +153,10 @@ def curate_trips(
         F.col("pickup_lon").alias("longitude"),
         ((F.size("coords") - 1) * VERTEX_SECONDS).cast("bigint").alias("duration_sec"),
         "year_month",
-    ).dropna(subset=["latitude", "longitude"])
-    unique = dedupe(rows, ["trip_id"], ["trip_start", "taxi_id"])
-    placed = unique.withColumn(
-        "h3_cell", hex_cell(F.col("latitude"), F.col("longitude"), resolution))
-    return drop_outside(assign_zone(placed, zones=zones)).select(
+    )
+    placed = complete(rows, ["latitude", "longitude"])
+    unique = dedupe(placed, ["trip_id"], ["trip_start", "taxi_id"])
+    return drop_outside(assign_zone(unique, zones=zones)).withColumn(
+        "h3_cell", hex_cell(F.col("latitude"), F.col("longitude"), resolution)).select(
         "trip_id", "taxi_id", "trip_start", "latitude", "longitude", "duration_sec",
         "h3_cell", "zone_id", "year_month")

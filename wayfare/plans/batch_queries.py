@@ -150,7 +150,7 @@ def _(spark, sf_dir):
 @query("sink_parquet_part", with_tables("trips_curated", "SELECT * FROM trips_curated"))
 def _(spark, sf_dir):
     path = scratch_path(spark, "curated")
-    files.write_table(fx.trips_curated(spark, sf_dir), path, by=["year_month"])
+    files.write_table(fx.trips_curated(spark, sf_dir), path, ["year_month"], files_each=4)
     return files.read_table(spark, path).withColumn("year_month", F.col("year_month").cast("string"))
 
 
@@ -689,6 +689,21 @@ def _(spark, sf_dir):
     return features.add_rolling(_slots(spark, sf_dir))
 
 
+@query("ml_lags", with_tables("features", """
+    SELECT zone_id, slot_ts, demand_lag_1d, demand_lag_7d FROM features"""))
+def _(spark, sf_dir):
+    """The lags of ``join_lag`` without a join, as the feature matrix takes them."""
+    return features.add_history(_slots(spark, sf_dir)).select(
+        "zone_id", "slot_ts", "demand_lag_1d", "demand_lag_7d")
+
+
+@query("ml_rolling", with_tables("features", """
+    SELECT zone_id, slot_ts, rolling_7d_mean FROM features"""))
+def _(spark, sf_dir):
+    return features.add_history(_slots(spark, sf_dir)).select(
+        "zone_id", "slot_ts", "rolling_7d_mean")
+
+
 @query("ml_matrix", with_tables("features", "SELECT * FROM features"))
 def _(spark, sf_dir):
     return _matrix(spark, sf_dir)

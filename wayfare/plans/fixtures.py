@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wayfare.functions.frames import computed_once
 from wayfare.functions.geo import hex_edge_km
 from wayfare.functions.times import seconds_to_timestamp
 from wayfare.operators.pings import normalise
@@ -144,7 +145,7 @@ def trip_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             place(lat(j) % 2100, "41."), F.lit("]")))
     text = F.when(k % 12 == 0, "[]").otherwise(
         F.concat(F.lit("["), F.array_join(vertices, ", "), F.lit("]")))
-    return e.select(
+    return computed_once(e, polyline=text).select(
         F.when(k % 20 == 7, k - 1).otherwise(k).cast("string").alias("TRIP_ID"),
         F.when(k % 3 == 0, "A").when(k % 3 == 1, "B").otherwise("C").alias("CALL_TYPE"),
         F.when(k % 3 == 0, (k % 1000).cast("int")).alias("ORIGIN_CALL"),
@@ -154,7 +155,7 @@ def trip_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("A").alias("DAY_TYPE"),
         F.when(k % 71 != 3, k % 50 == 1).alias("MISSING_DATA"),
         F.when(k % 97 == 5, "oops").when(k % 97 == 6, "[[-8.6]]").when(k % 97 == 7, None)
-        .otherwise(text).alias("POLYLINE"))
+        .otherwise(F.col("polyline")).alias("POLYLINE"))
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,23 +35,66 @@ def _roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routes.filter_edges(fx.edges(spark, sf_dir))
 
 
-@query("route_shortest")
+# Distances by repeated relaxation; "reach" has one row per origin and node that can be reached.
+_REACH = """used AS (SELECT src, dst, min(length) AS length FROM edges WHERE area <> 'yes'
+      AND highway NOT IN ('motorway', 'motorway_link', 'trunk', 'trunk_link') GROUP BY ALL),
+    reach(origin, node, length) USING KEY (origin, node) AS (
+      SELECT DISTINCT origin, origin, 0.0::DOUBLE FROM pairs
+      UNION SELECT f.origin, u.dst, min(f.length + u.length) FROM reach f
+        JOIN used u ON f.node = u.src
+        LEFT JOIN recurring.reach r ON r.origin = f.origin AND r.node = u.dst
+        WHERE r.length IS NULL OR f.length + u.length < r.length GROUP BY f.origin, u.dst)"""
+
+
+def _recursive(names: str, pairs: str, select: str) -> str:
+    tables = with_tables(names, "").rstrip().replace("WITH", "WITH RECURSIVE", 1)
+    return f"{tables}, {pairs}, {_REACH} {select}"
+
+
+@query("route_shortest", _recursive("edges", """pairs AS (
+      SELECT DISTINCT c_nationkey::BIGINT AS origin, c_custkey % 1000 AS destination FROM customer
+      WHERE c_custkey % 1000 IN (SELECT s_suppkey FROM supplier))""", """
+    SELECT p.origin, p.destination, r.length FROM pairs p
+    JOIN reach r ON r.origin = p.origin AND r.node = p.destination"""))
 def _(spark, sf_dir):
-    """From every customer's nation to the node of the same rank as the customer's market."""
+    """From the node of every customer's nation to the node numbered like the customer."""
     customers = fx.table(spark, sf_dir, "customer")
     suppliers = fx.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("destination"))
     pairs = customers.select(
         F.col("c_nationkey").cast("bigint").alias("origin"),
         (F.col("c_custkey") % 1000).alias("destination")).join(
         suppliers, "destination", "left_semi")
-    found = routes.routes(pairs, _roads(spark, sf_dir))
-    return found.select("origin", "destination", "length",
-                        F.concat_ws("-", "path").alias("path"))
+    return routes.routes(pairs, _roads(spark, sf_dir)).select("origin", "destination", "length")
+
+
+def _near_sql(which: str) -> str:
+    square = f"((lon - x) * {_K}) * ((lon - x) * {_K}) + (lat - y) * (lat - y)"
+    return (f"(SELECT TRIP_ID, min_by(node_id, (d, node_id)) AS {which} FROM (SELECT TRIP_ID, "
+            f"node_id, {square} AS d FROM (SELECT TRIP_ID, {which}_lon AS lon, {which}_lat AS lat "
+            f"FROM ends), nodes) GROUP BY TRIP_ID)")
 
 
-@query("route_replace")
+@query("route_replace", _recursive("mapped nodes edges", f"""
+    whole AS (SELECT k, TRIP_ID, "TIMESTAMP" AS t, TAXI_ID, count(*) AS n,
+      min_by(new_lon, vertex) AS pickup_lon, min_by(new_lat, vertex) AS pickup_lat,
+      max_by(new_lon, vertex) AS dropoff_lon, max_by(new_lat, vertex) AS dropoff_lat
+      FROM mapped GROUP BY ALL),
+    firsts AS (SELECT h.k AS k, h.TRIP_ID AS TRIP_ID FROM trip_history h QUALIFY row_number() OVER (
+      PARTITION BY h.TRIP_ID ORDER BY h."TIMESTAMP", h.TAXI_ID, h.k) = 1),
+    ends AS (SELECT w.* FROM whole w JOIN firsts f ON f.k = w.k WHERE n >= 2),
+    at_nodes AS (SELECT a.TRIP_ID AS TRIP_ID, a.pickup AS origin, b.dropoff AS destination
+      FROM {_near_sql('pickup')} a JOIN {_near_sql('dropoff')} b ON a.TRIP_ID = b.TRIP_ID),
+    pairs AS (SELECT DISTINCT origin, destination FROM at_nodes)""", """
+    SELECT t.TRIP_ID, s.x AS start_x, s.y AS start_y, e.x AS end_x, e.y AS end_y FROM at_nodes t
+    JOIN reach r ON r.origin = t.origin AND r.node = t.destination
+    JOIN nodes s ON s.node_id = t.origin JOIN nodes e ON e.node_id = t.destination"""))
 def _(spark, sf_dir):
+    """The ends of every snapped trip."""
     history = trips.remap_polyline(fx.trip_history(spark, sf_dir)).select(
         "TRIP_ID", "TAXI_ID", "TIMESTAMP", "CASA_POLYLINE")
     unique = quality.dedupe(history, ["TRIP_ID"], ["TIMESTAMP", "TAXI_ID"])
-    return routes.snap_trips(unique, fx.nodes(spark, sf_dir), _roads(spark, sf_dir))
+    snapped = routes.snap_trips(unique, fx.nodes(spark, sf_dir), _roads(spark, sf_dir))
+    ends = trips.trip_ends(trips.parse_polyline(snapped, "CASA_POLYLINE"))
+    return ends.select(
+        "TRIP_ID", F.col("pickup_lon").alias("start_x"), F.col("pickup_lat").alias("start_y"),
+        F.col("dropoff_lon").alias("end_x"), F.col("dropoff_lat").alias("end_y"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_trips_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -35,12 +35,18 @@ def ensure_columns(df: DataFrame, names: list[str], value=0.0) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name in names if name not in df.columns})
 
 
-def write_table(df: DataFrame, path: str, by: list[str | Column] = ()) -> None:
+def write_table(
+    df: DataFrame, path: str, by: list[str] = (), files_each: int | None = None,
+) -> None:
     """Overwrite a Parquet table; with ``by`` only the partitions that ``df`` holds.
 
-    Rows are not shuffled by the partition columns: a month that holds much of the data would
-    then be written by one task.
+    By default every task writes its rows where they belong, without a shuffle. ``files_each``
+    gathers a partition's rows into about that many files, so that many tasks do not leave many
+    small ones; the salt keeps a month that holds much of the data from going to one task.
     """
+    if by and files_each:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_each))
+        df = df.repartition(*by, salt)
     writer = df.write.mode("overwrite")
     if by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by)
