@@ -207,13 +207,18 @@ def match_replay(
     path = scratch_path(spark, "replay")
 
     def play(frame: DataFrame, number: int) -> None:
-        frame.groupBy("city", "slab").applyInPandas(_fold_slab(slab_ms), _ROW).write.parquet(
-            f"{path}/round={number}")
+        """Write a round: outcomes and states in separate folders."""
+        played = frame.groupBy("city", "slab").applyInPandas(_fold_slab(slab_ms), _ROW)
+        played.withColumn("part", F.when(F.col("end_state").isNull(), "outcome").otherwise("state")) \
+            .write.partitionBy("part").parquet(f"{path}/round={number}")
+
+    def rows(part: str) -> DataFrame:
+        table = spark.read.schema(f"{_ROW}, round int, part string").parquet(path)
+        return table.filter(F.col("part") == part).drop("part")
 
     def latest() -> DataFrame:
         """The last round of every slab, as state rows."""
-        states = spark.read.schema(f"{_ROW}, round int").parquet(path).filter(
-            F.col("end_state").isNotNull())
+        states = rows("state")
         last = F.max(F.struct("round", "start_state", "end_state")).alias("s")
         return states.groupBy("city", "slab").agg(last).select("city", "slab", "s.*")
 
@@ -244,8 +249,7 @@ def match_replay(
             play(again.unionByName(opening, allowMissingColumns=True), number)
         finally:
             stale.unpersist()
-    played = spark.read.schema(f"{_ROW}, round int").parquet(path)
-    final = played.filter(F.col("trip_id").isNotNull()).join(
+    final = rows("outcome").join(
         latest().select("city", "slab", "round"), ["city", "slab", "round"], "left_semi")
     return final.select(
         "city", F.date_format(F.timestamp_seconds("created_at"), "yyyy-MM-dd").alias("date_bucket"),

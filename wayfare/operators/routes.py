@@ -17,6 +17,8 @@ LON_SCALE = math.cos(math.radians(33.55))
 # Wanted number of nodes in a grid cell, and the number of grid sizes tried to get there.
 CELL_NODES = 8
 _SIZES = 24
+# Steps between two looks at how far each origin still has to go.
+_LIMIT_EVERY = 8
 
 
 def filter_edges(edges: DataFrame, excluded: list[str] = EXCLUDED) -> DataFrame:
@@ -144,21 +146,24 @@ def routes(pairs: DataFrame, edges: DataFrame, max_steps: int = 10_000) -> DataF
     ``path`` lists the nodes; pairs without a route are absent; of equally long routes the one
     first in node order is taken. All origins spread together, one road per step: only nodes that
     got nearer spread on, and an origin stops beyond its farthest wanted node. Each step is
-    checkpointed, so a lost executor costs one step.
+    written to the shared folder, so a lost executor costs one step.
     """
-    pairs = pairs.select("origin", "destination").dropna().distinct()
-    roads = edges.groupBy("src", "dst").agg(F.min("length").alias("length"))
+    pairs = settle(pairs.select("origin", "destination").dropna().distinct())
+    roads = settle(edges.groupBy("src", "dst").agg(F.min("length").alias("length")))
     front = settle(pairs.select("origin").distinct().select(
         "origin", F.col("origin").alias("node"),
         F.struct(F.lit(0.0).alias("length"), F.array("origin").alias("path")).alias("best")))
     best = front
-    for _ in range(max_steps):
-        # An origin's limit is known once all its wanted nodes have been reached.
-        limit = pairs.join(
-            best.select("origin", F.col("node").alias("destination"),
-                        F.col("best.length").alias("length")),
-            ["origin", "destination"], "left").groupBy("origin").agg(
-            F.when(F.count("length") == F.count("*"), F.max("length")).alias("limit"))
+    limit = None
+    for step in range(max_steps):
+        if step % _LIMIT_EVERY == 0:
+            # An origin's limit is known once all its wanted nodes have been reached. It only
+            # gets tighter, so that of an earlier step is safe to use.
+            limit = settle(pairs.join(
+                best.select("origin", F.col("node").alias("destination"),
+                            F.col("best.length").alias("length")),
+                ["origin", "destination"], "left").groupBy("origin").agg(
+                F.when(F.count("length") == F.count("*"), F.max("length")).alias("limit")))
         spread = front.join(roads, F.col("node") == F.col("src")).select(
             "origin", F.col("dst").alias("node"), F.struct(
                 (F.col("best.length") + F.col("length")).alias("length"),

@@ -33,13 +33,14 @@ def _squeezed(ts):
 
 
 def _pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    # computed once, as if the position were stored in the table
+    e = computed_once(
+        table(spark, sf_dir, "events"),
+        latitude=(F.col("event_id") * 7919 % 3500 + 333_800) / 10_000.0,
+        longitude=(F.col("event_id") * 104_729 % 4500 - 78_200) / 10_000.0)
     return e.select(
-        "ts",
-        "event_id", F.col("user_id").cast("int").alias("taxi_id"),
-        _squeezed("ts").alias("event_time"),
-        ((F.col("event_id") * 7919 % 3500 + 333_800) / 10_000.0).alias("latitude"),
-        ((F.col("event_id") * 104_729 % 4500 - 78_200) / 10_000.0).alias("longitude"),
+        "ts", "event_id", F.col("user_id").cast("int").alias("taxi_id"),
+        _squeezed("ts").alias("event_time"), "latitude", "longitude",
         F.col("value").alias("speed"),
         F.when(F.col("event_type") == "purchase", "ASSIGNED")
         .when(F.col("event_type") == "error", "OFFLINE").otherwise("AVAILABLE").alias("status"))
@@ -201,7 +202,7 @@ def gps_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(fault == 9, message(F.col("taxi_id"), speed=F.lit(None).cast("double")))
         .when(fault == 10, message(F.col("taxi_id"), timestamp=F.lit("soon")))
         .otherwise(message(F.col("taxi_id"))))
-    return raw_pings(spark, sf_dir).select("event_id", value.alias("value"))
+    return computed_once(raw_pings(spark, sf_dir), value=value).select("event_id", "value")
 
 
 def normalised_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +212,8 @@ def normalised_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pings = as_normalised_event(zone_pings(spark, sf_dir)).withColumn(
         "status", F.when(F.col("event_id") % 13 != 0, F.col("status")))
-    return to_event_json(pings, "gps", F.col("event_time") + 2)
+    return computed_once(
+        to_event_json(pings, "gps", F.col("event_time") + 2), value=F.col("value"))
 
 
 def trip_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,8 +225,9 @@ def trip_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trip_id", rider.alias("rider_id"), "origin_zone", "destination_zone",
         F.when(k % 2 == 0, F.col("requested_at") * 1000).otherwise(F.col("requested_at"))
         .alias("requested_at"), "call_type"))
-    return trip_requests(spark, sf_dir).select(
-        F.when(k % 97 == 5, "not json").otherwise(text).alias("value"))
+    return computed_once(
+        trip_requests(spark, sf_dir), value=F.when(k % 97 == 5, "not json").otherwise(text)
+    ).select("value")
 
 
 def contract_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,9 +246,10 @@ def contract_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     text = F.to_json(F.struct(*fields))
     quoted = F.regexp_replace(text, '"taxi_id":([0-9]+)', '"taxi_id":"$1"')
-    return zone_pings(spark, sf_dir).select(
-        "event_id", F.when(fault == 7, "not json").when(fault == 6, quoted).otherwise(text)
-        .alias("value"))
+    return computed_once(
+        zone_pings(spark, sf_dir),
+        value=F.when(fault == 7, "not json").when(fault == 6, quoted).otherwise(text)
+    ).select("event_id", "value")
 
 
 # The same tables for the checking SQL.

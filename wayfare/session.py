@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="wayfare-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(base)
+        context.setCheckpointDir(base)  # for the training loops of Spark ML
     return base
 
 
@@ -61,7 +61,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/wayfare/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df):
-    """Cut the lineage with a reliable checkpoint, so that lost executors cost no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, name: str = "step") -> DataFrame:
+    """Cut the lineage: write the rows to the shared folder and go on from that table.
+
+    A lost executor then costs no recomputation, and the next plan starts from the table's real
+    size. (``checkpoint()`` would carry the estimates along; over many steps of an iteration
+    these are products of products, and planning comes to a halt.)
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
