@@ -42,17 +42,17 @@ def test_nearest_node_equals_brute_force(spark, seed, shape):
 
 
 def dijkstra(edges, origin):
-    out, heap, near = {}, [(0.0, [origin])], {}
+    out, heap, near = {}, [(0.0, 1, [origin])], {}
     for a, b, w in edges:
         near.setdefault(a, []).append((b, w))
     while heap:
-        d, path = heapq.heappop(heap)
+        d, n, path = heapq.heappop(heap)
         if path[-1] in out:
             continue
         out[path[-1]] = (d, path)
         for b, w in near.get(path[-1], []):
             if b not in out:
-                heapq.heappush(heap, (d + w, path + [b]))
+                heapq.heappush(heap, (d + w, n + 1, path + [b]))
     return out
 
 
@@ -72,6 +72,14 @@ def test_routes_are_shortest(spark):
     assert got == expected
 
 
+def test_roads_of_no_length_do_not_loop(spark):
+    edges = spark.createDataFrame(
+        [(1, 2, 0.0), (2, 1, 0.0), (1, 3, 1.0), (2, 3, 1.0)], "src long, dst long, length double")
+    pairs = spark.createDataFrame([(1, 3)], "origin long, destination long")
+    row, = routes.routes(pairs, edges).collect()
+    assert (row.length, row.path) == (1.0, [1, 3])
+
+
 def test_snapped_trips(spark):
     nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 0.0), (3, 2.0, 0.0), (4, 9.0, 9.0)],
                                   "node_id long, x double, y double")

@@ -17,8 +17,6 @@ LON_SCALE = math.cos(math.radians(33.55))
 # Wanted number of nodes in a grid cell, and the number of grid sizes tried to get there.
 CELL_NODES = 8
 _SIZES = 24
-# Steps between two looks at how far each origin still has to go.
-_LIMIT_EVERY = 8
 
 
 def filter_edges(edges: DataFrame, excluded: list[str] = EXCLUDED) -> DataFrame:
@@ -140,45 +138,63 @@ def nearest_node(
     return points.join(found, "point_id", "left")
 
 
+def _way(length: Column, path: Column) -> Column:
+    """A way in its order of preference: shorter, then fewer nodes, then first in node order."""
+    return F.struct(length.alias("length"), F.size(path).alias("hops"), path.alias("path"))
+
+
+def shortcuts(edges: DataFrame, doublings: int = 3) -> DataFrame:
+    """The best way from each node to all nodes at most ``2 ** doublings`` roads away.
+
+    A road network is sparse, so a node has few dozens of them however large the network is.
+    """
+    ways = settle(edges.filter(F.col("src") != F.col("dst")).groupBy("src", "dst").agg(
+        F.min(_way(F.col("length"), F.array("dst"))).alias("way")))
+    for _ in range(doublings):
+        onward = ways.select(F.col("src").alias("dst"), F.col("dst").alias("to"),
+                             F.col("way").alias("next"))
+        longer = ways.join(onward, "dst").filter(F.col("src") != F.col("to")).select(
+            "src", F.col("to").alias("dst"), _way(
+                F.col("way.length") + F.col("next.length"),
+                F.concat("way.path", "next.path")).alias("way"))
+        ways = settle(ways.unionByName(longer).groupBy("src", "dst").agg(F.min("way").alias("way")))
+    return ways
+
+
 def routes(pairs: DataFrame, edges: DataFrame, max_steps: int = 10_000) -> DataFrame:
     """Shortest route by length for distinct (origin, destination) node pairs.
 
-    ``path`` lists the nodes; pairs without a route are absent; of equally long routes the one
-    first in node order is taken. All origins spread together, one road per step: only nodes that
-    got nearer spread on, and an origin stops beyond its farthest wanted node. Each step is
-    written to the shared folder, so a lost executor costs one step.
+    ``path`` lists the nodes; pairs without a route are absent. All origins spread together over
+    shortcuts of up to eight roads: only nodes that got nearer spread on, and an origin stops
+    beyond its farthest wanted node. Each step is written to the shared folder, so a lost executor
+    costs one step.
     """
     pairs = settle(pairs.select("origin", "destination").dropna().distinct())
-    roads = settle(edges.groupBy("src", "dst").agg(F.min("length").alias("length")))
-    front = settle(pairs.select("origin").distinct().select(
+    ways = shortcuts(edges)
+    front = pairs.select("origin").distinct().select(
         "origin", F.col("origin").alias("node"),
-        F.struct(F.lit(0.0).alias("length"), F.array("origin").alias("path")).alias("best")))
+        _way(F.lit(0.0), F.array("origin")).alias("best"))
     best = front
-    limit = None
-    for step in range(max_steps):
-        if step % _LIMIT_EVERY == 0:
-            # An origin's limit is known once all its wanted nodes have been reached. It only
-            # gets tighter, so that of an earlier step is safe to use.
-            limit = settle(pairs.join(
-                best.select("origin", F.col("node").alias("destination"),
-                            F.col("best.length").alias("length")),
-                ["origin", "destination"], "left").groupBy("origin").agg(
-                F.when(F.count("length") == F.count("*"), F.max("length")).alias("limit")))
-        spread = front.join(roads, F.col("node") == F.col("src")).select(
-            "origin", F.col("dst").alias("node"), F.struct(
-                (F.col("best.length") + F.col("length")).alias("length"),
-                F.concat("best.path", F.array("dst")).alias("path")).alias("best"))
+    for _ in range(max_steps):
+        # An origin's limit is known once all its wanted nodes have been reached.
+        limit = pairs.join(
+            best.select("origin", F.col("node").alias("destination"),
+                        F.col("best.length").alias("length")),
+            ["origin", "destination"], "left").groupBy("origin").agg(
+            F.when(F.count("length") == F.count("*"), F.max("length")).alias("limit"))
+        spread = front.join(ways, F.col("node") == F.col("src")).select(
+            "origin", F.col("dst").alias("node"), _way(
+                F.col("best.length") + F.col("way.length"),
+                F.concat("best.path", "way.path")).alias("best"))
         reached = spread.groupBy("origin", "node").agg(F.min("best").alias("best")).join(
             limit, "origin").filter(
             F.col("limit").isNull() | (F.col("best.length") <= F.col("limit"))).drop("limit")
         old = best.withColumnRenamed("best", "old")
-        # Each node keeps its better route; "fresh" marks those that changed in this step.
+        better = F.col("best").isNotNull() & (F.col("old").isNull() | (F.col("best") < F.col("old")))
+        # Each node keeps its better way; "fresh" marks those that changed in this step.
         merged = settle(old.join(reached, ["origin", "node"], "full").select(
-            "origin", "node",
-            F.when(F.col("old").isNull() | (F.col("best") < F.col("old")), F.col("best"))
-            .otherwise(F.col("old")).alias("best"),
-            (F.col("best").isNotNull() & (F.col("old").isNull() | (F.col("best") < F.col("old"))))
-            .alias("fresh")))
+            "origin", "node", F.when(better, F.col("best")).otherwise(F.col("old")).alias("best"),
+            better.alias("fresh")))
         best, front = merged.drop("fresh"), merged.filter("fresh").drop("fresh")
         if front.isEmpty():
             break
