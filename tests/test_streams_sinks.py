@@ -165,6 +165,15 @@ def test_upsert_last_write_wins_and_repeats_are_harmless(spark, tmp_path):
     assert sorted(map(tuple, again.collect())) == got
 
 
+def test_a_repeated_batch_leaves_nothing_of_its_first_attempt(spark, tmp_path):
+    path = str(tmp_path / "demand")
+    serving_tables.upsert(demand_rows(spark, ("X", 1, 0, 1, 1, 1.0), ("X", 2, 0, 1, 1, 1.0)),
+                          path, "demand_zones", 0)
+    serving_tables.upsert(demand_rows(spark, ("X", 1, 0, 2, 2, 1.0)), path, "demand_zones", 0)
+    table = serving_tables.read_serving(spark, path, "demand_zones")
+    assert [tuple(r) for r in table.collect()] == [("X", 1, 0, 2, 2, 1.0)]
+
+
 def test_overwrite_replaces_only_the_given_months(spark, tmp_path):
     path = str(tmp_path / "t")
     files.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "v int, m string"), path, ["m"])

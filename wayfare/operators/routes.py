@@ -52,6 +52,24 @@ def _pyramid(nodes: DataFrame, lon_scale: float) -> tuple[float, int, float, flo
     return extent / 2 ** levels, levels, box[0], box[1]
 
 
+def _bounds(lon_scale: float) -> list[Column]:
+    """Squared distances between which the nearest node of a box lies.
+
+    The box is drawn tight, so each of its four sides touches a node: the node on the nearer side
+    is at most as far as that side's farther end.
+    """
+    def axis(at: str, low: str, high: str, scale: float) -> tuple[Column, Column, Column]:
+        to_low, to_high = F.abs(F.col(at) - F.col(low)), F.abs(F.col(at) - F.col(high))
+        outside = F.greatest(F.col(low) - F.col(at), F.col(at) - F.col(high), F.lit(0.0))
+        return tuple(d * scale * d * scale for d in (
+            outside, F.least(to_low, to_high), F.greatest(to_low, to_high)))
+
+    out_x, near_x, far_x = axis("lon", "x_min", "x_max", lon_scale)
+    out_y, near_y, far_y = axis("lat", "y_min", "y_max", 1.0)
+    return [(out_x + out_y).alias("least"),
+            F.least(near_x + far_y, near_y + far_x).alias("most")]
+
+
 def nearest_node(
     points: DataFrame, nodes: DataFrame, lon_scale: float = LON_SCALE,
 ) -> DataFrame:
@@ -116,17 +134,7 @@ def nearest_node(
                 for a in range(fan) for b in range(fan)])).alias("c")
             opened = front.select("point_id", "lon", "lat", child).select(
                 "point_id", "lon", "lat", "c.i", "c.j").join(boxes(level), ["i", "j"])
-            to_x = F.greatest(F.col("x_min") - F.col("lon"), F.col("lon") - F.col("x_max"),
-                              F.lit(0.0)) * lon_scale
-            to_y = F.greatest(F.col("y_min") - F.col("lat"), F.col("lat") - F.col("y_max"),
-                              F.lit(0.0))
-            over_x = F.greatest(F.abs(F.col("lon") - F.col("x_min")),
-                                F.abs(F.col("lon") - F.col("x_max"))) * lon_scale
-            over_y = F.greatest(F.abs(F.col("lat") - F.col("y_min")),
-                                F.abs(F.col("lat") - F.col("y_max")))
-            bounded = opened.select(
-                "point_id", "lon", "lat", "i", "j", (to_x * to_x + to_y * to_y).alias("least"),
-                (over_x * over_x + over_y * over_y).alias("most"))
+            bounded = opened.select("point_id", "lon", "lat", "i", "j", *_bounds(lon_scale))
             limit = bounded.groupBy("point_id").agg(F.min("most").alias("limit"))
             # a hair above the bound, so that rounding never loses a cell
             front = settle(bounded.join(limit, "point_id").filter(

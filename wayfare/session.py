@@ -11,7 +11,6 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 # Streaming state is kept on disk, so it is not limited by executor heap.
 STREAM_CONF = {

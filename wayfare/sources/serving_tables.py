@@ -27,8 +27,10 @@ def upsert(df: DataFrame, path: str, table: str, batch: int) -> None:
     """Write one batch; keys that occur twice in it keep one row, chosen by the other columns."""
     partition, rest = SERVING_KEYS[table]
     names = [part.split()[0] for part in COLUMNS[table].split(", ")]
-    dedupe(df.select(*names), partition + rest).write.mode("overwrite").partitionBy(
-        *partition).parquet(f"{path.rstrip('/')}/batch={batch}")
+    # static: a repeated batch replaces all of its first attempt, not only the same partitions
+    dedupe(df.select(*names), partition + rest).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy(*partition).parquet(
+        f"{path.rstrip('/')}/batch={batch}")
 
 
 def upsert_stream(path: str, table: str) -> Callable[[DataFrame, int], None]:
