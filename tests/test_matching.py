@@ -71,22 +71,47 @@ def random_city(rng, city, span, n):
 
 
 def in_sequence(pings, requests):
-    """The same rules played by one process over one city."""
+    """The rules once more, written without the dispatcher: one city, plain lists, no shortcuts."""
     events = [(t, 0, str(taxi), zone, status, speed, lat, lon)
               for _, taxi, t, zone, lat, lon, speed, status in pings]
     events += [(t, 1, trip, zone, "", 0.0, 0.0, 0.0) for _, trip, _, zone, _, t, _ in requests]
-    dispatcher, out = Dispatcher(), []
-    for t, is_request, key, zone, status, speed, lat, lon in sorted(events):
-        now = t * 1000
-        out += dispatcher.expire(now)
-        if is_request:
-            out.append(dispatcher.request(
-                Request(key, "1", zone, 1, "A", t, None, None), now))
+    last_ping, waiting, timers, out = {}, [], [], {}
+
+    def take(zone, now):
+        there = [int(taxi) for taxi, (z, status, seen) in last_ping.items()
+                 if z == zone and status in ("AVAILABLE", "EN_ROUTE") and now - seen < 120]
+        if not there:
+            return None
+        del last_ping[str(min(there))]
+        return str(min(there))
+
+    def run_timers(now):
+        for timer in sorted(t for t in timers if t <= now):
+            timers.remove(timer)
+            for asked, trip, zone in sorted(waiting):
+                taxi, status, eta = take(zone, timer), "MATCHED_DELAYED_EXACT", 180
+                if taxi is None:
+                    taxi, status, eta = take(zone - 1, timer), "MATCHED_FALLBACK", 480
+                if taxi is None:
+                    taxi = take(zone + 1, timer)
+                if taxi is None:
+                    taxi, status, eta = "NONE", "UNFULFILLED", 0
+                out[trip] = (status, taxi, eta, timer)
+            waiting.clear()
+
+    for t, is_request, key, zone, status, *_ in sorted(events):
+        run_timers(t)
+        if not is_request:
+            last_ping[key] = (zone, status, t)
+            continue
+        taxi = take(zone, t)
+        if taxi is None:
+            waiting.append((t, key, zone))
+            timers.append(t + 5)
         else:
-            dispatcher.ping(key, Taxi(zone, lat, lon, speed, now), status)
-    out += dispatcher.expire(1 << 60)
-    return {o.request.trip_id: (o.status, o.matched_taxi, o.eta_seconds, o.decided_at // 1000)
-            for o in out if o is not None}
+            out[key] = ("MATCHED_EXACT", taxi, 180, t)
+    run_timers(float("inf"))
+    return out
 
 
 @pytest.mark.parametrize("slab, warm", [(900, 240), (120, 0), (150, 30)])

@@ -235,6 +235,17 @@ def _(spark, sf_dir):
     return matching.match_replay(_city_pings(spark, sf_dir), _city_requests(spark, sf_dir))
 
 
+@query("st_match_complete", with_tables("trip_requests", f"""
+    SELECT '{CITY}' AS city, trip_id, rider_id, origin_zone, destination_zone, call_type,
+      requested_at AS created_at FROM trip_requests"""))
+def _(spark, sf_dir):
+    """The replay answers every request exactly once, with the request's own fields."""
+    matches = matching.match_replay(_city_pings(spark, sf_dir), _city_requests(spark, sf_dir))
+    return messages.clean_rider_id(matches).select(
+        "city", "trip_id", "rider_id", "origin_zone", "destination_zone", "call_type",
+        "created_at")
+
+
 @query("st_match")
 def _(spark, sf_dir):
     """The live job: runs until the waiting time of the last request it has read is over."""
