@@ -230,7 +230,79 @@ def _(spark, sf_dir):
         F.count("*").alias("n"))
 
 
-@query("st_match_replay")
+# The matcher's rules as a recursion: each round plays one event, or decides one waiting request
+# while a timer is due. "steps" holds the events in order.
+_PLAYED = """played AS (
+      SELECT 0::BIGINT AS n, []::STRUCT(taxi INTEGER, zone INTEGER, seen BIGINT)[] AS free,
+        []::STRUCT(asked BIGINT, trip VARCHAR, zone INTEGER)[] AS parked, []::BIGINT[] AS timers,
+        NULL::VARCHAR AS trip, NULL::VARCHAR AS status, NULL::INTEGER AS taxi,
+        NULL::BIGINT AS decided
+      UNION ALL
+      SELECT CASE WHEN settles IS NULL THEN n + 1 ELSE n END,
+        CASE WHEN settles IS NULL AND asks = 0 THEN list_concat(
+            list_filter(usable, lambda f: f.taxi <> id::INTEGER),
+            CASE WHEN ping_status IN ('AVAILABLE', 'EN_ROUTE')
+              THEN [{'taxi': id::INTEGER, 'zone': zone, 'seen': now}] ELSE [] END)
+          WHEN got IS NOT NULL THEN list_filter(usable, lambda f: f.taxi <> got)
+          ELSE usable END,
+        CASE WHEN settles IS NOT NULL THEN list_filter(parked, lambda q: q.trip <> id)
+          WHEN asks = 1 AND got IS NULL
+            THEN list_append(parked, {'asked': asked, 'trip': id, 'zone': zone})
+          ELSE parked END,
+        CASE WHEN settles IS NOT NULL THEN timers
+          WHEN asks = 1 AND got IS NULL
+            THEN list_append(list_filter(timers, lambda x: x > now), now + 5)
+          ELSE list_filter(timers, lambda x: x > now) END,
+        CASE WHEN settles IS NOT NULL OR got IS NOT NULL THEN id END,
+        CASE WHEN settles IS NULL AND got IS NOT NULL THEN 'MATCHED_EXACT'
+          WHEN settles IS NOT NULL AND own IS NOT NULL THEN 'MATCHED_DELAYED_EXACT'
+          WHEN settles IS NOT NULL AND got IS NOT NULL THEN 'MATCHED_FALLBACK'
+          WHEN settles IS NOT NULL THEN 'UNFULFILLED' END,
+        got, now
+      FROM (SELECT *, CASE WHEN settles IS NOT NULL THEN coalesce(own, below, above)
+          WHEN asks = 1 THEN own END AS got
+        FROM (SELECT *,
+          list_min(list_transform(list_filter(usable, lambda f: f.zone = zone),
+            lambda f: f.taxi)) AS own,
+          list_min(list_transform(list_filter(usable, lambda f: f.zone = zone - 1),
+            lambda f: f.taxi)) AS below,
+          list_min(list_transform(list_filter(usable, lambda f: f.zone = zone + 1),
+            lambda f: f.taxi)) AS above
+        FROM (SELECT *, list_filter(free, lambda f: now - f.seen < 120) AS usable
+        FROM (SELECT n, free, parked, timers, settles, coalesce(settles, t) AS now, asks, asked,
+          ping_status, CASE WHEN settles IS NOT NULL THEN head.trip ELSE id END AS id,
+          CASE WHEN settles IS NOT NULL THEN head.zone ELSE zone END AS zone
+        FROM (SELECT p.n, p.free, p.parked, p.timers, s.t, s.asks, s.asked, s.id, s.zone,
+          s.status AS ping_status, list_sort(p.parked)[1] AS head,
+          CASE WHEN len(p.parked) > 0 AND list_min(p.timers) <= coalesce(s.t, 1::BIGINT << 60)
+            THEN list_min(p.timers) END AS settles
+        FROM played p LEFT JOIN steps s ON s.n = p.n + 1
+        WHERE s.n IS NOT NULL OR len(p.parked) > 0))))))"""
+
+
+def _matcher_sql(steps: str, select: str) -> str:
+    tables = with_tables("zone_pings trip_requests", "").rstrip()
+    tables = tables.replace("WITH", "WITH RECURSIVE", 1)
+    return f"""{tables}, steps AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY asked, asks, id, zone, status, speed, latitude, longitude)
+        AS n, * FROM ({steps})),
+    {_PLAYED} {select}"""
+
+
+_ETA = """CASE status WHEN 'UNFULFILLED' THEN 0 WHEN 'MATCHED_FALLBACK' THEN 480 ELSE 180 END"""
+
+
+@query("st_match_replay", _matcher_sql("""
+    SELECT event_time AS t, event_time AS asked, 0 AS asks, taxi_id::VARCHAR AS id,
+      zone_id AS zone, status, speed, latitude, longitude FROM zone_pings
+    UNION ALL SELECT requested_at, requested_at, 1, trip_id, origin_zone, NULL, NULL, NULL, NULL
+    FROM trip_requests""", f"""
+    SELECT '{CITY}' AS city, strftime(make_timestamp(requested_at * 1000000), '%Y-%m-%d')
+      AS date_bucket, requested_at AS created_at, trip_id, rider_id::VARCHAR AS rider_id,
+      origin_zone, destination_zone, call_type, coalesce(taxi::VARCHAR, 'NONE') AS matched_taxi,
+      {_ETA} AS eta_seconds, status, decided * 1000 AS decided_at
+    FROM trip_requests JOIN (SELECT trip AS trip_id, status, taxi, decided FROM played
+      WHERE status IS NOT NULL) USING (trip_id)"""))
 def _(spark, sf_dir):
     return matching.match_replay(_city_pings(spark, sf_dir), _city_requests(spark, sf_dir))
 
@@ -246,7 +318,23 @@ def _(spark, sf_dir):
         "created_at")
 
 
-@query("st_match")
+# Live, everything the topics hold arrives at one instant: nothing goes stale, and the waiting
+# requests are decided after all pings. Times are in mixed units there and only give the order.
+_RAW_TIME = "CASE WHEN trip_id::BIGINT % 2 = 0 THEN requested_at * 1000 ELSE requested_at END"
+
+
+@query("st_match", _matcher_sql(f"""
+    SELECT 0::BIGINT AS t, event_time AS asked, 0 AS asks, taxi_id::VARCHAR AS id,
+      zone_id AS zone, CASE WHEN event_id % 13 = 0 THEN 'AVAILABLE' ELSE status END AS status,
+      speed, latitude, longitude FROM zone_pings
+    UNION ALL SELECT 0, {_RAW_TIME}, 1, trip_id, origin_zone, NULL, NULL, NULL, NULL
+    FROM trip_requests WHERE trip_id::BIGINT % 97 <> 5""", f"""
+    SELECT '{CITY}' AS city, {_RAW_TIME} AS created_at, trip_id, rider_id, origin_zone,
+      destination_zone, call_type, coalesce(taxi::VARCHAR, 'NONE') AS matched_taxi,
+      {_ETA} AS eta_seconds, status
+    FROM trip_requests JOIN (SELECT trip AS trip_id, status, taxi FROM played
+      WHERE status IS NOT NULL) USING (trip_id)
+    WHERE trip_id::BIGINT % 5 = 0 OR trip_id::BIGINT % 11 <> 0"""))
 def _(spark, sf_dir):
     """The live job: runs until the waiting time of the last request it has read is over."""
     path = scratch_path(spark, "matches")

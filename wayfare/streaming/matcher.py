@@ -77,7 +77,9 @@ class TripMatcher(StatefulProcessor):
         dispatcher = self._load(now)
         taxis, parked = dict(dispatcher.taxis), dict(dispatcher.parked)
         waiting = False
-        ordered = sorted(rows, key=lambda r: (r.event_time or 0, r.kind != "ping", r.entity_id))
+        ordered = sorted(rows, key=lambda r: (
+            r.event_time or 0, r.kind != "ping", r.entity_id, r.zone_id, r.status or "",
+            r.speed or 0.0, r.latitude or 0.0, r.longitude or 0.0))
         for row in ordered:
             if row.kind == "ping":
                 taxi = Taxi(row.zone_id, row.latitude, row.longitude, row.speed, now)
