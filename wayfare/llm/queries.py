@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.llm import bpe, rans, wordpiece
 from wayfare.llm.registry import ORACLE, QUERIES, query, table
 from wayfare.llm.sharding import stratified_shards
+from wayfare.session import scratch_path
 
 __all__ = ["ORACLE", "QUERIES"]
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op7_bpe_round_trip")
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op9_rans_ids")
+def op9_rans_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "rans")
+    rans.write_ids(table(spark, sf_dir, "documents"), path, BYTE_BPE, end_id=0)
+    return rans.read_ids(spark, path, crc_only=True)
+
 
 @query("op10_stratified_shards")
 def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
