@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, rans, wordpiece
+from wayfare.llm import bpe, decontaminate, rans, simhash, topk, wordpiece
 from wayfare.llm.registry import ORACLE, QUERIES, query, table
 from wayfare.llm.sharding import stratified_shards
 from wayfare.session import scratch_path
@@ -16,16 +16,69 @@ __all__ = ["ORACLE", "QUERIES"]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
 @query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+_WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+
+
+@query("op3_contaminated", f"""
+WITH i AS (
+  SELECT min(item_id) AS item_id, ws, least(5, len(ws)) AS n
+  FROM (SELECT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0 GROUP BY ws),
+ig AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[k : k + n - 1], ' ') AS g
+  FROM (SELECT item_id, n, ws, unnest(range(1, len(ws) - n + 2)) AS k FROM i)),
+w AS (
+  SELECT r, doc_id, unnest(ws) AS a, generate_subscripts(ws, 1) AS p
+  FROM (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents)),
+five AS (
+  SELECT r, doc_id, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c, lead(a, 3) OVER o AS d,
+         lead(a, 4) OVER o AS e FROM w WINDOW o AS (PARTITION BY r ORDER BY p)),
+dg AS (
+  SELECT r, doc_id, 5 AS n, a || ' ' || b || ' ' || c || ' ' || d || ' ' || e AS g FROM five WHERE e IS NOT NULL
+  UNION SELECT r, doc_id, 4, a || ' ' || b || ' ' || c || ' ' || d FROM five WHERE d IS NOT NULL
+  UNION SELECT r, doc_id, 3, a || ' ' || b || ' ' || c FROM five WHERE c IS NOT NULL
+  UNION SELECT r, doc_id, 2, a || ' ' || b FROM five WHERE b IS NOT NULL
+  UNION SELECT r, doc_id, 1, a FROM five),
+t AS (SELECT item_id, count(*) AS n_item FROM ig GROUP BY item_id)
+SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*)::DOUBLE / n_item AS containment
+FROM dg JOIN ig USING (n, g) JOIN t USING (item_id)
+GROUP BY r, doc_id, item_id, n_item HAVING count(*) >= 0.8 * n_item
+""")
+def op3_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query("op8_pivot_top_k", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id AND len(a.q) = len(b.q))
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+""")
+def op8_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query("op9_rans_ids")
 def op9_rans_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "rans")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from wayfare.session import settle
 
+SALTS = 64
+
 
 def _unit(hash64: Column) -> Column:
     """A hash as a number in [0, 1)."""
@@ -49,8 +51,11 @@ def stratified_shards(docs: DataFrame, shards: int = 8, seed: int = 17, id_col:
     sizes = base.groupBy("key").agg(F.count("*").alias("size_of")).withColumn(
         "ranges", F.ceil(F.sqrt("size_of"))).withColumn(
         "phase", _unit(F.xxhash64(F.lit(seed), F.lit("phase"), F.col("key"))))
-    cut = base.join(sizes, "key").withColumn(
-        "range", F.floor(_unit(F.col("h")) * F.col("ranges")))
+    # a large stratum is dealt over salts, so that the join does not bring it into one task
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    cut = (base.withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int"))
+           .join(sizes.withColumn("salt", salts), ["key", "salt"]).drop("salt")
+           .withColumn("range", F.floor(_unit(F.col("h")) * F.col("ranges"))))
     earlier = _before(cut.groupBy("key", "range").agg(F.count("*").alias("n")), "range", "key")
     # the phase keeps strata of a single row, or of equal sizes, from meeting on one spot
     within = Window.partitionBy("key", "range").orderBy(

@@ -96,7 +96,7 @@ def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
-def _mixed(seed: int, n: int) -> np.ndarray:
+def mixed_values(seed: int, n: int) -> np.ndarray:
     """n well-mixed 64-bit values (the splitmix64 sequence)."""
     with np.errstate(over="ignore"):
         z = np.uint64(seed) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -110,28 +110,30 @@ LONG_WORD = 256
 
 @lru_cache(maxsize=2)
 def _factors(seed: int) -> tuple[np.ndarray, np.ndarray]:
-    return _mixed(seed, 0x110000), _mixed(~seed & 0xFFFF, LONG_WORD) | np.uint64(1)
+    return mixed_values(seed, 0x110000), mixed_values(~seed & 0xFFFF, LONG_WORD) | np.uint64(1)
 
 
-def word_hashes(points: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each word; together they stand for the word."""
+def word_hashes(points: np.ndarray, starts: np.ndarray, lens: np.ndarray,
+                seeds: tuple[int, ...] = (1, 2)) -> list[np.ndarray]:
+    """Independent 64-bit hashes of each word; two of them together stand for the word."""
     import hashlib
 
     if not len(starts):
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return [np.empty(0, np.uint64) for _ in seeds]
     if len(points) and (lens.sum() != len(points) or starts[0] != 0):
         points = points[expand(starts, lens)]
     own = np.cumsum(lens) - lens
     place = np.arange(len(points)) - np.repeat(own, lens)
     place &= LONG_WORD - 1
     found = []
-    for seed in (1, 2):
+    for seed in seeds:
         chars, places = _factors(seed)
         found.append(np.add.reduceat(chars[points] * places[place], own) + lens.astype(np.uint64))
     for i in np.flatnonzero(lens > LONG_WORD):
         digest = hashlib.blake2b(points[own[i]:own[i] + lens[i]].tobytes(), digest_size=16).digest()
-        found[0][i], found[1][i] = np.frombuffer(digest, np.uint64)
-    return found[0], found[1]
+        for own_hash, seed in zip(found, seeds):
+            own_hash[i] = np.frombuffer(digest, np.uint64)[seed - 1]
+    return found
 
 
 class Growing:
