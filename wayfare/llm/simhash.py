@@ -73,10 +73,10 @@ def majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return found
 
 
-def fingerprints(docs: DataFrame, width: int = 4, words: int = 1, seed: int = SEED,
+def fingerprints(docs: DataFrame, width: int = 4, words: int = 1, seed: int = SEED, repeats: bool = True,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fp`` (the fingerprint's 64-bit words as signed longs), ``node`` (the first word, or
-    a hash of several), ``text_hash``.
+    a hash of several), ``text_hash``. Without ``repeats`` each different shingle of a text counts once.
 
     Null texts and texts without words have fingerprint 0. Whole texts; other columns are ignored.
     """
@@ -85,6 +85,8 @@ def fingerprints(docs: DataFrame, width: int = 4, words: int = 1, seed: int = SE
         for piece in pieces(batches, "text"):
             hashes = [np.array(shingle_hashes(t, width, seed), np.uint64)
                       for t in piece.column("text").to_pylist()]
+            if not repeats:
+                hashes = [np.unique(h) for h in hashes]
             starts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
             hashes = np.concatenate(hashes)
             found = np.stack([majority(mixed(hashes, w), starts) for w in range(words)], axis=1)
@@ -320,14 +322,14 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, seed: int
     fingerprint 0 and are linked like any other. Rows without an id take part; a component without
     any id has a null ``component_id``. An empty table gives no rows.
     """
-    rows = settle(fingerprints(docs, width, 1, seed, id_col, text_col), "fingerprints")
+    rows = settle(fingerprints(docs, width, 1, seed, True, id_col, text_col), "fingerprints")
     named = _clusters(rows, block_masks(radius), radius)
     return rows.join(named, "node").select(
         "doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id", "cluster",
         "text_hash")
 
 
-def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int = 2, tables: int = 64,
+def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int = 4, tables: int = 40,
             seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``component_id``, ``cluster``, ``text_hash``: documents whose sets of shingles have
     about this Jaccard similarity or more.
@@ -335,13 +337,15 @@ def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int
     Two sets of similarity s differ in about arccos(2 s / (1 + s)) / pi of the bits. Documents within
     that share plus one standard deviation are linked. At this distance blocks would be too narrow to
     tell anything, so candidates agree under one of ``tables`` random masks; the masks
-    have more bits the more fingerprints there are, which keeps buckets small.
+    have more bits the more fingerprints there are, so that a bucket has some dozens of them. A pair of
+    similarity 0.8 is missed with a probability of 0.01 among 10^5 texts and of 0.1 among 10^7, one of
+    0.9 in 1 of 1000 cases there.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     radius = round(64 * words * share + math.sqrt(64 * words * share * (1 - share)))
-    rows = settle(fingerprints(docs, width, words, seed, id_col, text_col), "fingerprints")
+    rows = settle(fingerprints(docs, width, words, seed, False, id_col, text_col), "fingerprints")
     n = rows.select(F.approx_count_distinct("node")).first()[0]
-    bits = min(40, max(14, n.bit_length() - 2))
+    bits = min(48, max(12, n.bit_length() - 5))
     named = _clusters(rows, sampled_masks(words, bits, tables), radius)
     return rows.join(named, "node").select("doc_id", "component_id", "cluster", "text_hash")
 
