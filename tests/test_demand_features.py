@@ -110,7 +110,7 @@ def test_baseline_falls_back_to_all_rows(spark):
 
 
 def test_serving_rows(spark):
-    cells = spark.createDataFrame([("8839a54a2bfffff", 3), ("7", 2)], "pickup_h3 string, total_trips long")
+    cells = spark.createDataFrame([("8839a54a2bfffff", 3), ("7", 2)], "pickup_hex string, total_trips long")
     got = {(r.zone_id, r.active_vehicles, r.pending_requests, r.ratio)
            for r in kpi.to_demand_rows(cells, "X", 5).collect()}
     assert got == {(None, 3, 0, 1.0), (7, 2, 0, 1.0)}

@@ -71,7 +71,7 @@ def test_stream_equals_batch_for_closed_windows(spark, tmp_path):
 
 def test_latest_skips_what_was_there(spark, tmp_path):
     put(tmp_path / "t", trip("old", 1))
-    since = topics.newest_file(spark, "t", str(tmp_path))
+    since = topics.unread(spark, "t", str(tmp_path))
     time.sleep(0.05)
     put(tmp_path / "t", trip("new", 2))
     fresh = topics.read_topic(spark, "t", root=str(tmp_path), start="latest", since=since)
@@ -160,9 +160,43 @@ def test_upsert_last_write_wins_and_repeats_are_harmless(spark, tmp_path):
     table = serving_tables.read_serving(spark, path, "demand_zones")
     got = sorted(map(tuple, table.collect()))
     assert got == [("X", 1, 0, 5, 5, 1.0), ("X", 2, 0, 1, 1, 1.0), ("Y", 1, 0, 7, 7, 1.0)]
-    serving_tables.compact(spark, path, "demand_zones", str(tmp_path / "compact"))
-    again = serving_tables.read_serving(spark, str(tmp_path / "compact"), "demand_zones")
+    serving_tables.compact(spark, path, "demand_zones")
+    assert len(list((tmp_path / "demand").glob("writer=*/batch=*"))) == 1
+    again = serving_tables.read_serving(spark, path, "demand_zones")
     assert sorted(map(tuple, again.collect())) == got
+    serving_tables.upsert(demand_rows(spark, ("X", 1, 0, 6, 6, 1.0)), path, "demand_zones", 0)
+    again = serving_tables.read_serving(spark, path, "demand_zones")
+    assert ("X", 1, 0, 6, 6, 1.0) in set(map(tuple, again.collect())) and again.count() == 3
+
+
+def test_writers_do_not_overwrite_each_other(spark, tmp_path):
+    path = str(tmp_path / "demand")
+    serving_tables.upsert(demand_rows(spark, ("X", 1, 0, 1, 1, 1.0)), path, "demand_zones", 0, "stream")
+    serving_tables.upsert(demand_rows(spark, ("X", 2, 0, 2, 2, 1.0)), path, "demand_zones", 0, "job")
+    serving_tables.upsert(demand_rows(spark, ("X", 1, 0, 3, 3, 1.0)), path, "demand_zones", 0, "restarted")
+    got = sorted(map(tuple, serving_tables.read_serving(spark, path, "demand_zones").collect()))
+    assert got == [("X", 1, 0, 3, 3, 1.0), ("X", 2, 0, 2, 2, 1.0)]
+
+
+def test_a_stream_with_a_new_checkpoint_keeps_old_rows(spark, tmp_path):
+    path = str(tmp_path / "positions")
+    for i in (1, 2):
+        put(tmp_path / f"t{i}", {"taxi_id": i, "timestamp": 100, "latitude": 33.6, "longitude": -7.64,
+                                 "speed": 1.0, "status": "AVAILABLE"})
+        stream = topics.read_topic(spark, f"t{i}", root=str(tmp_path))
+        jobs.start_upsert(jobs.gps_positions(stream, "X"), path, "vehicle_positions",
+                          str(tmp_path / f"checkpoint{i}")).awaitTermination()
+    rows = serving_tables.read_serving(spark, path, "vehicle_positions").collect()
+    assert sorted(r.taxi_id for r in rows) == [1, 2]
+
+
+def test_a_decision_wins_over_its_request_in_one_batch(spark, tmp_path):
+    from wayfare.schemas import MATCH
+    row = ("X", "2013-07-01", 5, "t", 1, 1, 2, "A")
+    both = spark.createDataFrame([(*row, "NONE", 0, "UNFULFILLED"), (*row, "NONE", 0, "PENDING")], MATCH)
+    serving_tables.upsert(both, str(tmp_path / "trips"), "trips", 0)
+    assert [r.status for r in serving_tables.read_serving(spark, str(tmp_path / "trips"), "trips").collect()] == [
+        "UNFULFILLED"]
 
 
 def test_a_repeated_batch_leaves_nothing_of_its_first_attempt(spark, tmp_path):
@@ -195,7 +229,9 @@ def test_csv_export_and_read(spark, tmp_path):
     df = spark.createDataFrame([(str(i), i, i, '[[1.0,2.0],[3.0,4.0]]') for i in range(20)],
                                "TRIP_ID string, TAXI_ID int, TIMESTAMP long, CASA_POLYLINE string")
     path = str(tmp_path / "csv")
-    files.export_csv(df, path, 5, ["TIMESTAMP"])
+    files.export_csv(df, path)
+    assert files.read_csv_strings(spark, path).count() == 20
+    files.export_first_csv(df, path, 5, ["TIMESTAMP"])
     from wayfare.schemas import TRIP_REMAPPED
     back = files.read_trips_csv(spark, path, TRIP_REMAPPED).collect()
     assert sorted(r.TAXI_ID for r in back) == [0, 1, 2, 3, 4]

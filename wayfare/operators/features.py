@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wayfare.functions.times import calendar_parts, epoch_seconds, slot_start_seconds, \
     seconds_to_timestamp
+from wayfare.session import settle
 
 DAY = 86_400
 WEEK = 7 * DAY
 SLOT = 1800
 
+# What a forecast is made from, in the order the model takes it.
 FEATURES = [
     "zone_id", "hour_of_day", "day_of_week", "is_weekend", "is_friday", "is_raining",
     "demand_lag_1d", "demand_lag_7d", "rolling_7d_mean",
@@ -49,8 +51,9 @@ def add_lags(slots: DataFrame, days: tuple[int, ...] = (1, 7)) -> DataFrame:
     """Demand of the same zone exactly that many days ago, 0 if the slot had no trip.
 
     A join on the computed slot, because the grid has gaps; (zone, slot) is unique on both sides.
+    The slots, small next to the trips they come from, are written once and read for each lag.
     """
-    result = slots
+    slots = result = settle(slots, "slots")
     for day in days:
         earlier = slots.select(
             "zone_id", (F.col("slot_ts") + day * DAY).alias("slot_ts"),

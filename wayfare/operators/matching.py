@@ -7,8 +7,9 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wayfare.functions.times import to_millis
 from wayfare.operators.dispatch import ELIGIBLE, Dispatcher, Request, Taxi, STALE_MS
-from wayfare.session import scratch_path
+from wayfare.session import scratch_path, settle
 
 HORIZON = 120                    # seconds a ping stays usable
 _LEVELS = HORIZON.bit_length()   # dyadic levels that cover an interval of that length
@@ -57,9 +58,12 @@ def _cover(start: Column, end: Column) -> Column:
     return F.array_compact(F.array(*parts))
 
 
-def candidates(requests: DataFrame, pings: DataFrame, horizon: int = HORIZON) -> DataFrame:
+def candidates(requests: DataFrame, pings: DataFrame, horizon: int = HORIZON,
+               unit: str = "auto") -> DataFrame:
     """For each request the eligible taxis in its zone at its second: how many, and the first.
 
+    Request times are seconds or milliseconds (``unit``, by default told from the value).
+
     Taxi intervals are cut into dyadic pieces and summed up per piece before they meet a request,
     and a request looks up one piece per level. So the pairs of taxis and requests are never
     formed, however busy a zone and a minute are.
@@ -70,8 +74,8 @@ def candidates(requests: DataFrame, pings: DataFrame, horizon: int = HORIZON) ->
     supply = pieces.groupBy("city", "zone_id", "piece.level", "piece.node").agg(
         F.min("taxi_id").alias("first_taxi"), F.count("*").alias("n"))
     levels = F.explode(F.array(*[
-        F.struct(F.lit(level).alias("level"), F.floor(F.col("requested_at") / (1 << level))
-                 .alias("node")) for level in range(_LEVELS)])).alias("look")
+        F.struct(F.lit(level).alias("level"), F.floor(to_millis(F.col("requested_at"), unit)
+                                                      / (1000 << level)).alias("node")) for level in range(_LEVELS)])).alias("look")
     looked = requests.select(
         "city", "trip_id", "requested_at", F.col("origin_zone").alias("zone_id"), levels).select(
         "*", "look.level", "look.node").drop("look")
@@ -81,23 +85,32 @@ def candidates(requests: DataFrame, pings: DataFrame, horizon: int = HORIZON) ->
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_taxis"))
 
 
-def as_events(pings: DataFrame, requests: DataFrame) -> DataFrame:
-    """Both inputs in the matcher's row form, times in milliseconds."""
+def as_events(pings: DataFrame, requests: DataFrame, unit: str = "auto") -> DataFrame:
+    """Both inputs in the matcher's row form, times in milliseconds.
+
+    Missing fields take the defaults of the live job: zone 0, position 0.0, speed 30, status
+    AVAILABLE, rider "0", call type A. Rows without an id or a time can't be placed and are left out.
+    """
+    def known(column: str | Column, default) -> Column:
+        return F.coalesce(column, F.lit(default))
+
     def optional(df: DataFrame, name: str, kind: str) -> Column:
         return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
 
     p = pings.select(
         "city", F.lit("ping").alias("kind"), F.col("taxi_id").cast("string").alias("entity_id"),
-        "zone_id", (F.col("event_time") * 1000).alias("event_time"),
-        "latitude", "longitude", F.col("speed"), "status")
+        known("zone_id", 0).alias("zone_id"), to_millis(F.col("event_time"), unit).alias("event_time"),
+        known("latitude", 0.0).alias("latitude"), known("longitude", 0.0).alias("longitude"),
+        known("speed", 30.0).alias("speed"), known("status", "AVAILABLE").alias("status"))
     r = requests.select(
         "city", F.lit("request").alias("kind"), F.col("trip_id").cast("string").alias("entity_id"),
-        F.col("origin_zone").alias("zone_id"), (F.col("requested_at") * 1000).alias("event_time"),
+        known("origin_zone", 0).alias("zone_id"), to_millis(F.col("requested_at"), unit).alias("event_time"),
         optional(requests, "origin_lat", "double").alias("latitude"),
         optional(requests, "origin_lon", "double").alias("longitude"),
-        F.col("rider_id").cast("string").alias("rider_id"), "destination_zone", "call_type",
+        known(F.col("rider_id").cast("string"), "0").alias("rider_id"),
+        known("destination_zone", 0).alias("destination_zone"), known("call_type", "A").alias("call_type"),
         F.col("requested_at").cast("bigint").alias("created_at"))
-    return p.unionByName(r, allowMissingColumns=True)
+    return p.unionByName(r, allowMissingColumns=True).dropna(subset=["entity_id", "event_time"])
 
 
 def dump_state(dispatcher: Dispatcher, now: int) -> str:
@@ -189,9 +202,9 @@ def _fold_slab(slab_ms: int):
 
 def match_replay(
     pings: DataFrame, requests: DataFrame, slab_seconds: int = SLAB_SECONDS,
-    warmup_seconds: int = WARMUP_SECONDS,
+    warmup_seconds: int = WARMUP_SECONDS, unit: str = "auto",
 ) -> DataFrame:
-    """Replay the matcher in event time; one row per request.
+    """Replay the matcher in event time; one row per request. ``date_bucket`` is the day of the decision.
 
     A city's events form one sequence, but its memory is short. So the sequence is cut into slabs
     that run in parallel, each after a warm-up on the end of the slab before. The result is exact
@@ -202,8 +215,10 @@ def match_replay(
         raise ValueError("a slab must be as long as the horizon and the warm-up")
     spark = pings.sparkSession
     slab_ms, warm_ms = slab_seconds * 1000, warmup_seconds * 1000
-    events = as_events(pings, requests).withColumns({
-        "slab": F.floor(F.col("event_time") / slab_ms), "state": F.lit(None).cast("string")})
+    # stored once: later rounds read the stale slabs' events from there
+    events = settle(as_events(pings, requests, unit).withColumn(
+        "slab", F.floor(F.col("event_time") / slab_ms)), "events").withColumn(
+        "state", F.lit(None).cast("string"))
     path = scratch_path(spark, "replay")
 
     def play(frame: DataFrame, number: int) -> None:
@@ -252,6 +267,6 @@ def match_replay(
     final = rows("outcome").join(
         latest().select("city", "slab", "round"), ["city", "slab", "round"], "left_semi")
     return final.select(
-        "city", F.date_format(F.timestamp_seconds("created_at"), "yyyy-MM-dd").alias("date_bucket"),
+        "city", F.date_format(F.timestamp_millis("decided_at"), "yyyy-MM-dd").alias("date_bucket"),
         "created_at", "trip_id", "rider_id", "origin_zone", "destination_zone", "call_type",
         "matched_taxi", "eta_seconds", "status", "decided_at")

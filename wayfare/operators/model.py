@@ -98,13 +98,23 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requests that can be answered, and the others with the ``reason``."""
+    reason = F.when(F.col("zone_id").isNull(), "missing:zone_id").when(
+        F.col("datetime").isNull(), "missing:datetime").when(
+        F.col("datetime").try_cast("timestamp_ntz").isNull(), "unreadable:datetime")
+    told = requests.withColumn("reason", reason)
+    return told.filter("reason IS NULL").drop("reason"), told.filter("reason IS NOT NULL")
+
+
 def request_features(requests: DataFrame, slots: DataFrame) -> DataFrame:
     """Features for (zone_id, datetime) rows, with lags and means looked up in the demand table.
 
-    The calendar is the one used in training. Unreadable times are left out.
+    The calendar is the one used in training. Takes readable requests; ``split_requests`` sorts out
+    the others.
     """
-    asked = requests.withColumn("_at", F.col("datetime").try_cast("timestamp_ntz")).dropna(
-        subset=["_at", "zone_id"]).withColumn("slot_ts", slot_start_seconds(F.col("_at"), SLOT))
+    asked = requests.withColumn("_at", F.col("datetime").try_cast("timestamp_ntz")).withColumn(
+        "slot_ts", slot_start_seconds(F.col("_at"), SLOT))
     wanted = asked.select("zone_id", "slot_ts").distinct()
     history = history_at(wanted, slots)
     return asked.join(history, ["zone_id", "slot_ts"], "left").withColumns({
@@ -112,11 +122,14 @@ def request_features(requests: DataFrame, slots: DataFrame) -> DataFrame:
 
 
 def score(requests: DataFrame, model: PipelineModel, slots: DataFrame) -> DataFrame:
-    """Forecasts for (zone_id, datetime) rows, never below 0."""
-    rows = request_features(requests, slots)
+    """Forecasts for (zone_id, datetime) rows, never below 0; a null and the reason where there is none."""
+    readable, rejected = split_requests(requests)
+    rows = request_features(readable, slots)
     numeric = rows.select(
         F.col("zone_id").alias("_zone"), "datetime",
         *[F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in FEATURES])
     return model.transform(numeric).select(
         F.col("_zone").alias("zone_id"), "datetime",
-        F.greatest(F.lit(0.0), "prediction").alias("predicted_demand"))
+        F.greatest(F.lit(0.0), "prediction").alias("predicted_demand"),
+        F.lit(None).cast("string").alias("reason")).unionByName(rejected.select(
+            "zone_id", "datetime", F.lit(None).cast("double").alias("predicted_demand"), "reason"))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfare.zones import OUTSIDE, ZONES, Zone
+from wayfare.zones import OUTSIDE, ZONES, Zone, zone_table
 
 # Fixed limits: service area (inclusive) and highest plausible speed in km/h.
 SERVICE_AREA = {"lat": (33.4, 33.7), "lon": (-7.8, -7.4)}
 MAX_SPEED = 150.0
-# Longest list of boxes that is compared one by one; larger sets come as a table.
+# Longest list of boxes that is compared one by one; larger ones are looked up as a table.
 MAX_INLINE_ZONES = 100
 
 
@@ -23,8 +23,6 @@ def valid_pings(df: DataFrame, area: dict = SERVICE_AREA, max_speed: float = MAX
 
 def zone_of(lat: str, lon: str, zones: list[Zone] = ZONES) -> Column:
     """Lowest id among the boxes that hold the position, 99 if none does."""
-    if len(zones) > MAX_INLINE_ZONES:
-        raise ValueError("pass large zone sets as a table to assign_zone_table")
     boxes = " ".join(
         f"WHEN `{lat}` BETWEEN {z.min_lat!r}D AND {z.max_lat!r}D "
         f"AND `{lon}` BETWEEN {z.min_lon!r}D AND {z.max_lon!r}D THEN {z.zone_id}"
@@ -35,6 +33,8 @@ def zone_of(lat: str, lon: str, zones: list[Zone] = ZONES) -> Column:
 def assign_zone(
     df: DataFrame, lat: str = "latitude", lon: str = "longitude", zones: list[Zone] = ZONES,
 ) -> DataFrame:
+    if len(zones) > MAX_INLINE_ZONES:
+        return assign_zone_table(df, zone_table(df.sparkSession, zones), lat=lat, lon=lon)
     return df.withColumn("zone_id", zone_of(lat, lon, zones))
 
 
@@ -59,6 +59,13 @@ def anonymize(
 
     The zone id stays with the row: a centroid may lie in a box of a lower id.
     """
+    if len(zones) > MAX_INLINE_ZONES:
+        known = zone_table(df.sparkSession, zones).select(
+            "zone_id", "zone_name", F.col("centroid_lat").alias("_lat"), F.col("centroid_lon").alias("_lon"))
+        kept = [name for name in df.columns if name not in (lat, lon, "zone_name")]
+        return df.join(known, "zone_id", "left").withColumns({
+            lat: F.coalesce("_lat", lat), lon: F.coalesce("_lon", lon),
+        }).select(*[name for name in df.columns if name in (*kept, lat, lon)], known["zone_name"])
     return df.withColumns({
         "zone_name": zone_attribute("zone_name", zones),
         lat: F.coalesce(zone_attribute("centroid_lat", zones), F.col(lat)),

@@ -140,13 +140,15 @@ def assert_schema(df: DataFrame, expected: str | StructType) -> DataFrame:
 
 
 def sample_trips(
-    df: DataFrame, fraction: float = 0.01, seed: int = 42, limit: int = 100,
+    df: DataFrame, fraction: float = 0.01, seed: int = 42, limit: int | None = None,
     key: str = "TRIP_ID", order: list[str] = (),
 ) -> DataFrame:
-    """A repeatable sample of about ``fraction`` of the keys, at most ``limit`` rows."""
+    """A repeatable sample of about ``fraction`` of the keys; on request the first ``limit`` rows of it."""
     draw = uniform(F.col(key), seed, "sample")
-    return df.withColumn("_draw", draw).filter(F.col("_draw") < fraction).orderBy(
-        "_draw", key, *order).limit(limit).drop("_draw")
+    drawn = df.withColumn("_draw", draw).filter(F.col("_draw") < fraction)
+    if limit is not None:
+        drawn = drawn.orderBy("_draw", key, *order).limit(limit)
+    return drawn.drop("_draw")
 
 
 _NUMERIC = "^(BIGINT|DECIMAL|DOUBLE)"

@@ -6,8 +6,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wayfare.operators.components import components
 from wayfare.operators.trips import nonempty, parse_polyline, trip_ends
-from wayfare.session import settle
+from wayfare.session import release, settle
 
 # Classes of road that trips do not use.
 EXCLUDED = ["motorway", "motorway_link", "trunk", "trunk_link"]
@@ -86,11 +87,11 @@ def nearest_node(
         return F.floor((value * scale - origin) / size)
 
     places = nodes.groupBy("x", "y").agg(F.min("node_id").alias("node_id"))
-    leaves = places.groupBy(
+    leaves = settle(places.groupBy(
         cell(F.col("x"), lon_scale, x0).alias("i"), cell(F.col("y"), 1.0, y0).alias("j")).agg(
         F.collect_list(F.struct("x", "y", "node_id")).alias("held"),
         F.min("x").alias("x_min"), F.max("x").alias("x_max"),
-        F.min("y").alias("y_min"), F.max("y").alias("y_max"))
+        F.min("y").alias("y_min"), F.max("y").alias("y_max")), "leaves")
 
     def nearest_held() -> Column:
         return F.array_min(F.transform("held", lambda n: F.struct(
@@ -165,25 +166,40 @@ def shortcuts(edges: DataFrame, doublings: int = 3) -> DataFrame:
             "src", F.col("to").alias("dst"), _way(
                 F.col("way.length") + F.col("next.length"),
                 F.concat("way.path", "next.path")).alias("way"))
-        ways = settle(ways.unionByName(longer).groupBy("src", "dst").agg(F.min("way").alias("way")))
+        ways, old = settle(ways.unionByName(longer).groupBy("src", "dst").agg(F.min("way").alias("way"))), ways
+        release(old)
     return ways
 
 
-def routes(pairs: DataFrame, edges: DataFrame, max_steps: int = 10_000) -> DataFrame:
+def connected(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in one connected part of the network, or are one node."""
+    part = components(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+
+    def at(column: str) -> DataFrame:
+        return part.select(F.col("node").alias(column), F.col("root").alias(f"_{column}"))
+
+    placed = pairs.join(at("origin"), "origin", "left").join(at("destination"), "destination", "left")
+    return placed.filter(F.coalesce("_origin", "origin") == F.coalesce("_destination", "destination")).select(
+        "origin", "destination")
+
+
+def routes(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     """Shortest route by length for distinct (origin, destination) node pairs.
 
-    ``path`` lists the nodes; pairs without a route are absent. All origins spread together over
-    shortcuts of up to eight roads: only nodes that got nearer spread on, and an origin stops
+    ``path`` lists the nodes; pairs without a route are absent. Pairs in different parts of the network
+    are set aside first, so that they do not keep an origin spreading. All origins spread together
+    over shortcuts of up to eight roads: only nodes that got nearer spread on, and an origin stops
     beyond its farthest wanted node. Each step is written to the shared folder, so a lost executor
-    costs one step.
+    costs one step, and the table before it is deleted.
     """
-    pairs = settle(pairs.select("origin", "destination").dropna().distinct())
+    edges = settle(edges.select("src", "dst", "length"), "roads")
+    pairs = settle(connected(pairs.select("origin", "destination").dropna().distinct(), edges), "pairs")
     ways = shortcuts(edges)
     front = pairs.select("origin").distinct().select(
         "origin", F.col("origin").alias("node"),
         _way(F.lit(0.0), F.array("origin")).alias("best"))
-    best = front
-    for _ in range(max_steps):
+    best, merged = front, None
+    while True:
         # An origin's limit is known once all its wanted nodes have been reached.
         limit = pairs.join(
             best.select("origin", F.col("node").alias("destination"),
@@ -200,14 +216,14 @@ def routes(pairs: DataFrame, edges: DataFrame, max_steps: int = 10_000) -> DataF
         old = best.withColumnRenamed("best", "old")
         better = F.col("best").isNotNull() & (F.col("old").isNull() | (F.col("best") < F.col("old")))
         # Each node keeps its better way; "fresh" marks those that changed in this step.
-        merged = settle(old.join(reached, ["origin", "node"], "full").select(
+        merged, before = settle(old.join(reached, ["origin", "node"], "full").select(
             "origin", "node", F.when(better, F.col("best")).otherwise(F.col("old")).alias("best"),
-            better.alias("fresh")))
+            better.alias("fresh"))), merged
         best, front = merged.drop("fresh"), merged.filter("fresh").drop("fresh")
+        if before is not None:
+            release(before)
         if front.isEmpty():
             break
-    else:
-        raise RuntimeError(f"routes still improve after {max_steps} steps")
     return pairs.join(best.withColumnRenamed("node", "destination"), ["origin", "destination"]) \
         .select("origin", "destination", F.col("best.length").alias("length"),
                 F.col("best.path").alias("path"))

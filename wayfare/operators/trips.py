@@ -127,8 +127,8 @@ def delay_pings(
 
 def with_cells(df: DataFrame, resolution: int = 8) -> DataFrame:
     return df.withColumns({
-        "pickup_h3": hex_cell(F.col("pickup_lat"), F.col("pickup_lon"), resolution),
-        "dropoff_h3": hex_cell(F.col("dropoff_lat"), F.col("dropoff_lon"), resolution),
+        "pickup_hex": hex_cell(F.col("pickup_lat"), F.col("pickup_lon"), resolution),
+        "dropoff_hex": hex_cell(F.col("dropoff_lat"), F.col("dropoff_lon"), resolution),
     })
 
 
@@ -157,6 +157,6 @@ def curate_trips(
     placed = complete(rows, ["latitude", "longitude"])
     unique = dedupe(placed, ["trip_id"], ["trip_start", "taxi_id"])
     return drop_outside(assign_zone(unique, zones=zones)).withColumn(
-        "h3_cell", hex_cell(F.col("latitude"), F.col("longitude"), resolution)).select(
+        "hex_cell", hex_cell(F.col("latitude"), F.col("longitude"), resolution)).select(
         "trip_id", "taxi_id", "trip_start", "latitude", "longitude", "duration_sec",
-        "h3_cell", "zone_id", "year_month")
+        "hex_cell", "zone_id", "year_month")

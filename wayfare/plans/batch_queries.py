@@ -11,7 +11,7 @@ from wayfare.operators import demand, features, kpi, pings, quality, trips
 from wayfare.plans import fixtures as fx
 from wayfare.plans.fixtures import CITY, hex_sql, with_tables
 from wayfare.plans.registry import once, query
-from wayfare.session import scratch_path
+from wayfare.session import scratch_path, settle
 from wayfare.sources import files
 from wayfare.zones import ZONES, zone_table
 
@@ -94,34 +94,6 @@ def _(spark, sf_dir):
         "latitude": F.round("latitude", 9), "longitude": F.round("longitude", 9)})
 
 
-def _uniform_sql(stream: str) -> str:
-    return (f"((('0x' || substr(md5('42|{stream}|' || trip_id || '/' || vertex), 1, 8))::BIGINT "
-            "+ 0.5::DOUBLE) / 4294967296::DOUBLE)")
-
-
-def _normal_sql(stream: str) -> str:
-    return (f"(sqrt(ln({_uniform_sql(stream + 'r')}) * -2::DOUBLE) * "
-            f"cos({_uniform_sql(stream + 'a')} * 6.283185307179586::DOUBLE))")
-
-
-@query("src_ping_noise", with_tables("mapped", f"""
-    SELECT trip_id, vertex, taxi_id, "timestamp",
-      round(latitude + {_normal_sql('lat')} * 0.0002::DOUBLE, 6) AS latitude,
-      round(longitude + {_normal_sql('lon')} * 0.0002::DOUBLE, 6) AS longitude,
-      round({_uniform_sql('speed')} * 50 + 10, 1) AS speed FROM ({_PINGS})"""))
-def _(spark, sf_dir):
-    return trips.perturb_pings(_replayed(spark, sf_dir)).drop("status")
-
-
-@query("src_ping_blackout", with_tables("mapped", f"""
-    SELECT trip_id, vertex, taxi_id, CASE WHEN {_uniform_sql('late')} < 0.05::DOUBLE
-      THEN "timestamp" - (floor({_uniform_sql('delay')} * 121)::BIGINT + 60)
-      ELSE "timestamp" END AS "timestamp" FROM ({_PINGS})"""))
-def _(spark, sf_dir):
-    return trips.delay_pings(_replayed(spark, sf_dir)).select(
-        "trip_id", "vertex", "taxi_id", "timestamp")
-
-
 # --- sinks ---------------------------------------------------------------------------------
 
 _HOURLY = """SELECT PULocationID, tpep_pickup_datetime::DATE AS pickup_date,
@@ -136,42 +108,53 @@ _HOURLY = """SELECT PULocationID, tpep_pickup_datetime::DATE AS pickup_date,
     GROUP BY ALL"""
 
 
-@query("sink_parquet", with_tables("nyc_trips", """
-    SELECT tpep_pickup_datetime, PULocationID, DOLocationID, trip_distance, fare_amount
-    FROM nyc_trips"""))
+@query("sink_parquet", with_tables("nyc_trips", "SELECT * FROM nyc_trips"))
 def _(spark, sf_dir):
     path = scratch_path(spark, "nyc")
-    files.write_table(fx.nyc_trips(spark, sf_dir).select(
-        "tpep_pickup_datetime", "PULocationID", "DOLocationID", "trip_distance", "fare_amount"),
-        path)
+    files.write_table(fx.nyc_trips(spark, sf_dir), path)
     return files.read_table(spark, path)
 
 
 @query("sink_parquet_part", with_tables("trips_curated", "SELECT * FROM trips_curated"))
 def _(spark, sf_dir):
     path = scratch_path(spark, "curated")
-    files.write_table(fx.trips_curated(spark, sf_dir), path, ["year_month"], files_each=4)
+    files.write_table(fx.trips_curated(spark, sf_dir), path, ["year_month"], gather=True)
     return files.read_table(spark, path).withColumn("year_month", F.col("year_month").cast("string"))
 
 
-_EXPORT = 100_000
+def _exportable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _remapped(spark, sf_dir).filter(F.col("CASA_POLYLINE") != "[]").select(
+        "TRIP_ID", "TAXI_ID", "TIMESTAMP", "CASA_POLYLINE")
 
 
-@query("sink_csv_export", with_tables("mapped", f"""
-    SELECT TRIP_ID, TAXI_ID, "TIMESTAMP", count(*) AS vertices FROM (
-      SELECT k, TRIP_ID, TAXI_ID, "TIMESTAMP" FROM mapped JOIN (
-        SELECT DISTINCT k, TRIP_ID AS t, "TIMESTAMP" AS s FROM mapped ORDER BY t, s
-        LIMIT {_EXPORT}) USING (k)) GROUP BY k, TRIP_ID, TAXI_ID, "TIMESTAMP" """))
-def _(spark, sf_dir):
-    path = scratch_path(spark, "export")
-    remapped = _remapped(spark, sf_dir).filter(F.col("CASA_POLYLINE") != "[]").select(
-        "TRIP_ID", "TAXI_ID", "TIMESTAMP", "CASA_POLYLINE")
-    files.export_csv(remapped, path, _EXPORT, ["TRIP_ID", "TIMESTAMP"])
+def _exported(spark: SparkSession, path: str) -> DataFrame:
     again = files.read_trips_csv(spark, path, schemas.TRIP_REMAPPED)
     return trips.parse_polyline(again, "CASA_POLYLINE").select(
         "TRIP_ID", "TAXI_ID", "TIMESTAMP", F.size("coords").cast("bigint").alias("vertices"))
 
 
+_EXPORTED = """SELECT TRIP_ID, TAXI_ID, "TIMESTAMP", count(*) AS vertices FROM mapped
+    GROUP BY k, TRIP_ID, TAXI_ID, "TIMESTAMP" """
+
+
+@query("sink_csv_export", with_tables("mapped", _EXPORTED))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "export")
+    files.export_csv(_exportable(spark, sf_dir), path)
+    return _exported(spark, path)
+
+
+@query("sink_csv_first", with_tables("mapped", f"""
+    SELECT * FROM ({_EXPORTED}) ORDER BY TRIP_ID, "TIMESTAMP", TAXI_ID, vertices LIMIT 50"""))
+def _(spark, sf_dir):
+    """The export cut at a number of rows, for whoever asks for it."""
+    path = scratch_path(spark, "export")
+    ordered = trips.parse_polyline(_exportable(spark, sf_dir), "CASA_POLYLINE").withColumn(
+        "vertices", F.size("coords")).drop("coords")
+    files.export_first_csv(ordered, path, 50, ["TRIP_ID", "TIMESTAMP", "TAXI_ID", "vertices"])
+    return _exported(spark, path)
+
+
 # --- messages ------------------------------------------------------------------------------
 
 @query("parse_gps", with_tables("raw_pings", """
@@ -431,14 +414,16 @@ def _(spark, sf_dir):
 
 # --- quality -------------------------------------------------------------------------------
 
-_NYC_COLUMNS = ["PULocationID", "DOLocationID", "passenger_count", "trip_distance",
-                "fare_amount", "congestion_surcharge", "airport_fee"]
+_NYC_COLUMNS = [
+    "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID", "passenger_count",
+    "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+    "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee"]
 
 
 @query("dq_null_counts", with_tables("nyc_trips", "SELECT " + ", ".join(
     f"count(*) - count({c}) AS {c}" for c in _NYC_COLUMNS) + " FROM nyc_trips"))
 def _(spark, sf_dir):
-    return quality.null_counts(fx.nyc_trips(spark, sf_dir).select(*_NYC_COLUMNS))
+    return quality.null_counts(fx.nyc_trips(spark, sf_dir))
 
 
 @query("dq_null_pct", with_tables("nyc_trips", " UNION ALL ".join(
@@ -446,7 +431,7 @@ def _(spark, sf_dir):
     f"round((count(*) - count({c})) * 100::DOUBLE / count(*), 2) AS missing_pct FROM nyc_trips"
     for c in _NYC_COLUMNS)))
 def _(spark, sf_dir):
-    return quality.null_profile(fx.nyc_trips(spark, sf_dir).select(*_NYC_COLUMNS))
+    return quality.null_profile(fx.nyc_trips(spark, sf_dir))
 
 
 @query("dq_missing_flag", with_tables("trip_history", f"""
@@ -551,11 +536,11 @@ def _(spark, sf_dir):
     SELECT TRIP_ID, "TIMESTAMP" FROM (SELECT TRIP_ID, "TIMESTAMP",
       (('0x' || substr(md5('42|sample|' || TRIP_ID), 1, 8))::BIGINT + 0.5::DOUBLE)
         / 4294967296::DOUBLE AS draw FROM trip_history WHERE fault <> 7 AND POLYLINE <> '[]')
-    WHERE draw < 0.01::DOUBLE ORDER BY draw, TRIP_ID, "TIMESTAMP" LIMIT 100"""))
+    WHERE draw < 0.01::DOUBLE"""))
 def _(spark, sf_dir):
     usable = fx.trip_history(spark, sf_dir).filter(
         F.col("POLYLINE").isNotNull() & (F.col("POLYLINE") != "[]"))
-    return quality.sample_trips(usable, order=["TIMESTAMP"]).select("TRIP_ID", "TIMESTAMP")
+    return quality.sample_trips(usable).select("TRIP_ID", "TIMESTAMP")
 
 
 # --- demand, indicators --------------------------------------------------------------------
@@ -566,10 +551,10 @@ def _(spark, sf_dir):
 
 
 @query("agg_cell_trips", with_tables("trips_curated", """
-    SELECT h3_cell AS pickup_h3, count(*) AS total_trips FROM trips_curated GROUP BY h3_cell"""))
+    SELECT hex_cell AS pickup_hex, count(*) AS total_trips FROM trips_curated GROUP BY hex_cell"""))
 def _(spark, sf_dir):
     return kpi.trips_per_cell(
-        fx.trips_curated(spark, sf_dir).withColumnRenamed("h3_cell", "pickup_h3"))
+        fx.trips_curated(spark, sf_dir).withColumnRenamed("hex_cell", "pickup_hex"))
 
 
 @query("agg_peak_hours", with_tables("slot_trips", """
@@ -648,6 +633,11 @@ def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.feature_matrix(fx.slot_trips(spark, sf_dir))
 
 
+def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows; the matrix is written once, as the split reads it several times."""
+    return features.temporal_split(settle(_matrix(spark, sf_dir), "matrix"))
+
+
 @query("agg_slot_demand", with_tables("slots", "SELECT * FROM slots"))
 def _(spark, sf_dir):
     return _slots(spark, sf_dir)
@@ -719,7 +709,7 @@ def _(spark, sf_dir):
     SELECT zone_id, slot_ts, CASE WHEN slot_date < cutoff THEN 'train' ELSE 'test' END AS part
     FROM features, split_at"""))
 def _(spark, sf_dir):
-    train, test = features.temporal_split(_matrix(spark, sf_dir))
+    train, test = _parts(spark, sf_dir)
     return train.select("zone_id", "slot_ts", F.lit("train").alias("part")).unionAll(
         test.select("zone_id", "slot_ts", F.lit("test")))
 
@@ -731,7 +721,7 @@ _TEST = "test AS (SELECT * FROM features, split_at WHERE slot_date >= cutoff)"
     SELECT zone_id, slot_ts, demand, demand_lag_7d::DOUBLE AS prediction FROM test
     WHERE demand_lag_7d > 0 OR (SELECT count(*) FROM test WHERE demand_lag_7d > 0) = 0""")
 def _(spark, sf_dir):
-    _, test = features.temporal_split(_matrix(spark, sf_dir))
+    _, test = _parts(spark, sf_dir)
     return features.baseline(test).select("zone_id", "slot_ts", "demand", "prediction")
 
 
@@ -739,7 +729,7 @@ def _(spark, sf_dir):
     SELECT zone_id, sqrt(avg((demand_lag_7d - demand) ** 2)) AS rmse, count(*) AS n_slots
     FROM test WHERE demand_lag_7d > 0 GROUP BY zone_id""")
 def _(spark, sf_dir):
-    _, test = features.temporal_split(_matrix(spark, sf_dir))
+    _, test = _parts(spark, sf_dir)
     return features.rmse_by_zone(features.baseline(test))
 
 
@@ -751,7 +741,7 @@ def _(spark, sf_dir):
     SELECT a.zone_id, rmse_gbt, n_slots, rmse_baseline FROM a LEFT JOIN b USING (zone_id)""")
 def _(spark, sf_dir):
     """The rolling mean stands in for the model, so that the join can be checked in SQL."""
-    _, test = features.temporal_split(_matrix(spark, sf_dir))
+    _, test = _parts(spark, sf_dir)
     mean = test.withColumn("prediction", F.col("rolling_7d_mean"))
     return features.compare_by_zone(mean, features.baseline(test)).withColumns({
         "rmse_gbt": F.round("rmse_gbt", 6), "rmse_baseline": F.round("rmse_baseline", 6)})
@@ -793,11 +783,11 @@ def _(spark, sf_dir):
 
 
 @query("join_left_key", with_tables("trips_curated", """
-    SELECT trip_id, zone_id, h3_cell FROM trips_curated"""))
+    SELECT trip_id, zone_id, hex_cell FROM trips_curated"""))
 def _(spark, sf_dir):
-    """Cells joined back to their trips; the curated table computes them in place instead."""
+    """Cells worked out from the curated positions, joined back to their trips."""
     curated = fx.trips_curated(spark, sf_dir)
-    cells = curated.select("trip_id", "h3_cell")
+    cells = settle(curated.select("trip_id", "hex_cell"), "cells")
     return curated.select("trip_id", "zone_id").join(cells, "trip_id", "left")
 
 
@@ -807,13 +797,13 @@ def _(spark, sf_dir):
       max_by(new_lat, vertex) AS dropoff_lat FROM mapped GROUP BY k, TRIP_ID)
     SELECT TRIP_ID, round(pickup_lon, 9) AS pickup_lon, round(pickup_lat, 9) AS pickup_lat,
       round(dropoff_lon, 9) AS dropoff_lon, round(dropoff_lat, 9) AS dropoff_lat,
-      {hex_sql('pickup_lat', 'pickup_lon')} AS pickup_h3,
-      {hex_sql('dropoff_lat', 'dropoff_lon')} AS dropoff_h3 FROM e""")
+      {hex_sql('pickup_lat', 'pickup_lon')} AS pickup_hex,
+      {hex_sql('dropoff_lat', 'dropoff_lon')} AS dropoff_hex FROM e""")
 def _(spark, sf_dir):
     ends = trips.curate_ends(_remapped(spark, sf_dir))
     return ends.select("TRIP_ID", *[
         F.round(c, 9).alias(c) for c in ("pickup_lon", "pickup_lat", "dropoff_lon", "dropoff_lat")],
-        "pickup_h3", "dropoff_h3")
+        "pickup_hex", "dropoff_hex")
 
 
 @query("etl_curated_trips", with_tables("mapped", "").rstrip() + f""",
@@ -827,5 +817,5 @@ def _(spark, sf_dir):
       round(longitude, 9) AS longitude, duration_sec, {fx._ZONE_CASE} AS zone_id,
       strftime(trip_start, '%Y-%m') AS year_month FROM uniq) WHERE zone_id <> 99""")
 def _(spark, sf_dir):
-    return trips.curate_trips(_remapped(spark, sf_dir)).drop("h3_cell").withColumns({
+    return trips.curate_trips(_remapped(spark, sf_dir)).drop("hex_cell").withColumns({
         "latitude": F.round("latitude", 9), "longitude": F.round("longitude", 9)})

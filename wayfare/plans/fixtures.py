@@ -124,7 +124,7 @@ def trips_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("trip_id"), "taxi_id",
         F.col("ts").alias("trip_start"), "latitude", "longitude",
         F.floor(F.col("speed") * 60).alias("duration_sec"),
-        hex_cell(F.col("latitude"), F.col("longitude")).alias("h3_cell"),
+        hex_cell(F.col("latitude"), F.col("longitude")).alias("hex_cell"),
         "zone_id", year_month(F.col("ts")).alias("year_month"))
 
 
@@ -359,7 +359,7 @@ SQL = {
           CASE WHEN o % 5 = 0 THEN 1.25 END::DOUBLE AS airport_fee FROM nyc_base""",
     "trips_curated": f"""
         SELECT event_id::VARCHAR AS trip_id, taxi_id, ts AS trip_start, latitude, longitude,
-          floor(speed * 60)::BIGINT AS duration_sec, {hex_sql('latitude', 'longitude')} AS h3_cell,
+          floor(speed * 60)::BIGINT AS duration_sec, {hex_sql('latitude', 'longitude')} AS hex_cell,
           zone_id, strftime(ts, '%Y-%m') AS year_month FROM placed WHERE zone_id <> 99""",
     "weekly": """
         SELECT date_trunc('week', trip_start)::TIMESTAMP AS week_start, zone_id,

@@ -52,18 +52,20 @@ def _recursive(names: str, pairs: str, select: str) -> str:
 
 
 @query("route_shortest", _recursive("edges", """pairs AS (
-      SELECT DISTINCT c_nationkey::BIGINT AS origin, c_custkey % 1000 AS destination FROM customer
-      WHERE c_custkey % 1000 IN (SELECT s_suppkey FROM supplier))""", """
+      SELECT DISTINCT c_nationkey::BIGINT AS origin, s_suppkey AS destination FROM customer
+      JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
+      JOIN supplier ON s_suppkey = l_suppkey)""", """
     SELECT p.origin, p.destination, r.length FROM pairs p
     JOIN reach r ON r.origin = p.origin AND r.node = p.destination"""))
 def _(spark, sf_dir):
-    """From the node of every customer's nation to the node numbered like the customer."""
-    customers = fx.table(spark, sf_dir, "customer")
-    suppliers = fx.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("destination"))
-    pairs = customers.select(
-        F.col("c_nationkey").cast("bigint").alias("origin"),
-        (F.col("c_custkey") % 1000).alias("destination")).join(
-        suppliers, "destination", "left_semi")
+    """From the node of every customer's nation to the nodes of all suppliers of what they ordered."""
+    customers, orders, lines, suppliers = (
+        fx.table(spark, sf_dir, name) for name in ("customer", "orders", "lineitem", "supplier"))
+    pairs = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+             .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+             .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+             .select(F.col("c_nationkey").cast("bigint").alias("origin"),
+                     F.col("s_suppkey").alias("destination")))
     return routes.routes(pairs, _roads(spark, sf_dir)).select("origin", "destination", "length")
 
 

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayfare.functions import messages, times
-from wayfare.operators import demand, kpi, matching, serving
+from wayfare.operators import kpi, matching, serving
 from wayfare.plans import fixtures as fx
 from wayfare.plans.fixtures import CITY, with_tables
 from wayfare.plans.registry import once, query
 from wayfare.session import scratch_path
 from wayfare.sources import serving_tables, topics
-from wayfare.streaming import jobs, matcher
+from wayfare.streaming import jobs
 
 _MESSAGES = {
     "raw.gps": fx.gps_messages, "processed.gps": fx.normalised_messages,
@@ -56,7 +54,7 @@ def _(spark, sf_dir):
     root = scratch_path(spark, "topics")
     path = topics.topic_path(root, "mixed")
     fx.gps_messages(spark, sf_dir).select("value").write.text(path)
-    since = topics.newest_file(spark, "mixed", root)
+    since = topics.unread(spark, "mixed", root)
     fx.trip_messages(spark, sf_dir).write.mode("append").text(path)
     fresh = topics.read_topic(spark, "mixed", root=root, start="latest", since=since)
     return _finish(messages.parse_trip(fresh).select("entity_id", "zone_id"), spark)
@@ -93,8 +91,8 @@ def _(spark, sf_dir):
 
 
 @query("sink_raw_archive", """
-    SELECT 'raw.gps' AS topic, count(*) AS n FROM events
-    UNION ALL SELECT 'raw.trips', count(*) FROM events WHERE event_type = 'purchase'""")
+    SELECT 'raw.gps' AS topic, count(*) AS n, 0::BIGINT AS changed FROM events
+    UNION ALL SELECT 'raw.trips', count(*), 0 FROM events WHERE event_type = 'purchase'""")
 def _(spark, sf_dir):
     def fill(root: str) -> str:
         for name in ("raw.gps", "raw.trips"):
@@ -108,7 +106,13 @@ def _(spark, sf_dir):
         root=once(spark, sf_dir, "raw topics", fill), trigger=topics.AVAILABLE_NOW
     ).awaitTermination()
     archived = spark.read.schema("value string, topic string").option("wholetext", "false").text(path)
-    return archived.groupBy("topic").agg(F.count("*").alias("n"))
+    sent = [_MESSAGES[name](spark, sf_dir).select("value", F.lit(name).alias("topic"), F.lit(1).alias("side"))
+            for name in ("raw.gps", "raw.trips")]
+    both = archived.withColumn("side", F.lit(-1)).unionByName(sent[0]).unionByName(sent[1])
+    # every message must be there as often as it was sent
+    each = both.groupBy("topic", "value").agg(
+        F.sum("side").alias("off"), F.count_if(F.col("side") < 0).alias("n"))
+    return each.groupBy("topic").agg(F.sum("n").alias("n"), F.sum(F.abs("off")).alias("changed"))
 
 
 # A finite stream ends with its last windows open: only those are out whose end the watermark,
@@ -137,12 +141,10 @@ def _(spark, sf_dir):
     FROM windows
     WHERE window_start + 30000 <= (SELECT max(event_time) FROM heard) * 1000 - 180000""")
 def _(spark, sf_dir):
-    """The batch form of the closing rule, over the same events."""
-    events = jobs.demand_events(
-        fx.normalised_messages(spark, sf_dir), fx.trip_messages(spark, sf_dir), CITY)
-    closed = demand.demand_windows(events)
-    newest = events.agg(F.max(F.unix_millis("event_ts")) - 180_000).first()[0]
-    return closed.filter(F.col("window_start") + 30_000 <= newest).agg(
+    """What a stream under the joint watermark of both topics has put out when it has read all."""
+    closed = _finish(jobs.demand_stream(
+        _topic(spark, sf_dir, "processed.gps"), _topic(spark, sf_dir, "raw.trips"), CITY), spark)
+    return closed.agg(
         F.count("*").alias("closed_windows"), F.max("window_start").alias("last_window"),
         F.sum("active_vehicles").alias("vehicles"), F.sum("pending_requests").alias("requests"))
 
@@ -200,6 +202,14 @@ def _city_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.trip_requests(spark, sf_dir).withColumn("city", F.lit(CITY))
 
 
+def _sent_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests as their senders leave them: half in milliseconds, some without a destination."""
+    k = F.col("trip_id").cast("bigint")
+    return _city_requests(spark, sf_dir).withColumns({
+        "requested_at": F.when(k % 2 == 0, F.col("requested_at") * 1000).otherwise(F.col("requested_at")),
+        "destination_zone": F.when(k % 13 != 4, F.col("destination_zone"))})
+
+
 _ASOF = f"""
     SELECT '{CITY}' AS city, r.trip_id, r.origin_zone AS zone_id, r.requested_at,
       min(p.taxi_id) AS first_taxi, count(p.taxi_id) AS n_taxis
@@ -289,6 +299,7 @@ def _matcher_sql(steps: str, select: str) -> str:
     {_PLAYED} {select}"""
 
 
+_RAW_TIME = "CASE WHEN trip_id::BIGINT % 2 = 0 THEN requested_at * 1000 ELSE requested_at END"
 _ETA = """CASE status WHEN 'UNFULFILLED' THEN 0 WHEN 'MATCHED_FALLBACK' THEN 480 ELSE 180 END"""
 
 
@@ -297,14 +308,15 @@ _ETA = """CASE status WHEN 'UNFULFILLED' THEN 0 WHEN 'MATCHED_FALLBACK' THEN 480
       zone_id AS zone, status, speed, latitude, longitude FROM zone_pings
     UNION ALL SELECT requested_at, requested_at, 1, trip_id, origin_zone, NULL, NULL, NULL, NULL
     FROM trip_requests""", f"""
-    SELECT '{CITY}' AS city, strftime(make_timestamp(requested_at * 1000000), '%Y-%m-%d')
-      AS date_bucket, requested_at AS created_at, trip_id, rider_id::VARCHAR AS rider_id,
-      origin_zone, destination_zone, call_type, coalesce(taxi::VARCHAR, 'NONE') AS matched_taxi,
+    SELECT '{CITY}' AS city, strftime(make_timestamp(decided * 1000000), '%Y-%m-%d')
+      AS date_bucket, {_RAW_TIME} AS created_at, trip_id, rider_id::VARCHAR AS rider_id, origin_zone,
+      CASE WHEN trip_id::BIGINT % 13 <> 4 THEN destination_zone ELSE 0 END AS destination_zone,
+      call_type, coalesce(taxi::VARCHAR, 'NONE') AS matched_taxi,
       {_ETA} AS eta_seconds, status, decided * 1000 AS decided_at
     FROM trip_requests JOIN (SELECT trip AS trip_id, status, taxi, decided FROM played
       WHERE status IS NOT NULL) USING (trip_id)"""))
 def _(spark, sf_dir):
-    return matching.match_replay(_city_pings(spark, sf_dir), _city_requests(spark, sf_dir))
+    return matching.match_replay(_city_pings(spark, sf_dir), _sent_requests(spark, sf_dir))
 
 
 @query("st_match_complete", with_tables("trip_requests", f"""
@@ -318,46 +330,6 @@ def _(spark, sf_dir):
         "created_at")
 
 
-# Live, everything the topics hold arrives at one instant: nothing goes stale, and the waiting
-# requests are decided after all pings. Times are in mixed units there and only give the order.
-_RAW_TIME = "CASE WHEN trip_id::BIGINT % 2 = 0 THEN requested_at * 1000 ELSE requested_at END"
-
-
-@query("st_match", _matcher_sql(f"""
-    SELECT 0::BIGINT AS t, event_time AS asked, 0 AS asks, taxi_id::VARCHAR AS id,
-      zone_id AS zone, CASE WHEN event_id % 13 = 0 THEN 'AVAILABLE' ELSE status END AS status,
-      speed, latitude, longitude FROM zone_pings
-    UNION ALL SELECT 0, {_RAW_TIME}, 1, trip_id, origin_zone, NULL, NULL, NULL, NULL
-    FROM trip_requests WHERE trip_id::BIGINT % 97 <> 5""", f"""
-    SELECT '{CITY}' AS city, {_RAW_TIME} AS created_at, trip_id, rider_id, origin_zone,
-      destination_zone, call_type, coalesce(taxi::VARCHAR, 'NONE') AS matched_taxi,
-      {_ETA} AS eta_seconds, status
-    FROM trip_requests JOIN (SELECT trip AS trip_id, status, taxi FROM played
-      WHERE status IS NOT NULL) USING (trip_id)
-    WHERE trip_id::BIGINT % 5 = 0 OR trip_id::BIGINT % 11 <> 0"""))
-def _(spark, sf_dir):
-    """The live job: runs until the waiting time of the last request it has read is over."""
-    path = scratch_path(spark, "matches")
-    stream = matcher.match_stream(
-        _topic(spark, sf_dir, "processed.gps"), _topic(spark, sf_dir, "raw.trips"), CITY)
-    running = jobs.start_table(stream, path, scratch_path(spark, "checkpoint"),
-                               {"processingTime": "3 seconds"})
-    read_at = None
-    while running.isActive:
-        time.sleep(0.1)
-        if read_at is None and any(p.numInputRows for p in running.recentProgress):
-            read_at = time.monotonic()
-        # five seconds of waiting, then the trigger in which the timer runs
-        if read_at is not None and time.monotonic() - read_at > 10 and \
-                not running.status["isTriggerActive"]:
-            break
-    failure = running.exception()
-    running.stop()
-    if failure is not None:
-        raise failure
-    return matcher.serving_rows(spark.read.schema(stream.schema).parquet(path)).drop("date_bucket")
-
-
 # --- serving -------------------------------------------------------------------------------
 
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,16 +356,18 @@ _STATUS = """CASE trip_id::BIGINT % 3 WHEN 0 THEN 'MATCHED_EXACT' WHEN 1 THEN 'U
       CASE WHEN trip_id::BIGINT % 3 = 0 THEN 180 ELSE 0 END AS eta_seconds, {_STATUS} AS status
     FROM trip_requests"""))
 def _(spark, sf_dir):
-    """All trips as pending, then the decided ones; that second batch is written twice."""
+    """Some trips are pending and decided within one batch, others decided in a later one, which is
+    written twice, by another writer whose numbers start anew."""
     path = scratch_path(spark, "trips")
     pending = _city_requests(spark, sf_dir).select(
         "city", F.date_format(F.timestamp_seconds("requested_at"), "yyyy-MM-dd")
         .alias("date_bucket"), F.col("requested_at").alias("created_at"), "trip_id", "rider_id",
         "origin_zone", "destination_zone", "call_type", F.lit("NONE").alias("matched_taxi"),
         F.lit(0).alias("eta_seconds"), F.lit("PENDING").alias("status"))
-    serving_tables.upsert(pending, path, "trips", 0)
+    decided = _decisions(spark, sf_dir)
+    serving_tables.upsert(pending.unionByName(decided.filter("status = 'MATCHED_EXACT'")), path, "trips", 0)
     for _attempt in range(2):
-        serving_tables.upsert(_decisions(spark, sf_dir), path, "trips", 1)
+        serving_tables.upsert(decided.filter("status <> 'MATCHED_EXACT'"), path, "trips", 0, "later")
     return serving_tables.read_serving(spark, path, "trips")
 
 
@@ -420,6 +394,38 @@ def _(spark, sf_dir):
     return serving_tables.read_serving(spark, path, "demand_zones")
 
 
+@query("sink_shared_table", with_tables("supply_and_demand weekly", "").rstrip() + f""", {_HEARD},
+    closed AS (SELECT '{CITY}' AS city, zone_id, window_start, active_vehicles, pending_requests,
+      pending_requests / greatest(active_vehicles, 1)::DOUBLE AS ratio FROM windows
+      WHERE window_start + 30000 <= (SELECT max(event_time) FROM heard) * 1000 - 180000),
+    weeks AS (SELECT '{CITY}' AS city, zone_id, epoch_ms(week_start) AS window_start,
+      unique_taxis::INTEGER AS active_vehicles, total_trips::INTEGER AS pending_requests,
+      total_trips / greatest(unique_taxis, 1)::DOUBLE AS ratio FROM weekly)
+    SELECT * FROM weeks UNION ALL SELECT * FROM closed c WHERE NOT EXISTS (
+      SELECT 1 FROM weeks w WHERE w.zone_id = c.zone_id AND w.window_start = c.window_start)""")
+def _(spark, sf_dir):
+    """The demand stream and the weekly job share one table, which is compacted in between."""
+    path = scratch_path(spark, "demand")
+    windows = jobs.demand_stream(
+        _topic(spark, sf_dir, "processed.gps"), _topic(spark, sf_dir, "raw.trips"), CITY)
+    jobs.start_upsert(windows, path, "demand_zones", scratch_path(spark, "checkpoint")).awaitTermination()
+    serving_tables.compact(spark, path, "demand_zones")
+    weekly = kpi.weekly_trips(fx.trips_curated(spark, sf_dir))
+    serving_tables.upsert(kpi.weekly_to_demand(weekly, CITY), path, "demand_zones", 0, "weekly")
+    return serving_tables.read_serving(spark, path, "demand_zones")
+
+
+@query("emit_json_match", with_tables("trip_requests", f"""
+    SELECT trip_id AS "key", '{CITY}' AS city, trip_id, requested_at AS created_at,
+      CASE WHEN trip_id::BIGINT % 3 = 0 THEN 'MATCHED_EXACT' ELSE 'UNFULFILLED' END AS status
+    FROM trip_requests WHERE trip_id::BIGINT % 3 <> 2"""))
+def _(spark, sf_dir):
+    """Decisions as keyed messages, read back."""
+    sent = jobs.match_messages(_decisions(spark, sf_dir))
+    return sent.select("key", F.json_tuple("value", "city", "trip_id", "created_at", "status").alias(
+        "city", "trip_id", "created_at", "status")).withColumn("created_at", F.col("created_at").cast("bigint"))
+
+
 @query("st_latest_status", with_tables("trip_requests", f"""
     SELECT trip_id, {_STATUS} AS status, rider_id, origin_zone, destination_zone,
       CASE WHEN trip_id::BIGINT % 3 = 2 THEN 'Trip reserved, finding a driver...' ELSE '' END

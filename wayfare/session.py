@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ STREAM_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-_own_dirs: dict[str, str] = {}
+_own_roots: set[str] = set()
 
 
 def build_session(app: str = "wayfare", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,26 +38,41 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session without that setting gets a folder of its own.
+    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session, or else the
+    warehouse, which all of them share as well. Only a local session may name a local folder.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = _own_dirs.get(context.applicationId)
-    if not base:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="wayfare-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if base.startswith("file:") and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)  # for the training loops of Spark ML
     return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/wayfare/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, deleted when the driver ends."""
+    root = f"{shared_dir(spark).rstrip('/')}/wayfare/{spark.sparkContext.applicationId}"
+    if root not in _own_roots:
+        _own_roots.add(root)
+        atexit.register(_sweep, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _sweep(spark: SparkSession, root: str) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            remove_path(spark, root)
+    except Exception:  # the JVM may be gone already; clearing the folder is then left to the cluster
+        pass
 
 
 def settle(df: DataFrame, name: str = "step") -> DataFrame:
@@ -69,4 +84,13 @@ def settle(df: DataFrame, name: str = "step") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    settled = df.sparkSession.read.schema(df.schema).parquet(path)
+    settled.settled_at = path
+    return settled
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete settled tables that no later plan reads."""
+    for table in tables:
+        if path := getattr(table, "settled_at", None):
+            remove_path(table.sparkSession, path)

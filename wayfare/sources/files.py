@@ -35,24 +35,27 @@ def ensure_columns(df: DataFrame, names: list[str], value=0.0) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name in names if name not in df.columns})
 
 
-def write_table(
-    df: DataFrame, path: str, by: list[str] = (), files_each: int | None = None,
-) -> None:
+def write_table(df: DataFrame, path: str, by: list[str] = (), gather: bool = False) -> None:
     """Overwrite a Parquet table; with ``by`` only the partitions that ``df`` holds.
 
-    By default every task writes its rows where they belong, without a shuffle. ``files_each``
-    gathers a partition's rows into about that many files, so that many tasks do not leave many
-    small ones; the salt keeps a month that holds much of the data from going to one task.
+    By default every task writes its rows where they belong, without a shuffle. ``gather`` brings a
+    partition's rows together, so that many tasks do not leave many small files; how many tasks
+    share a partition follows from its bytes, so a month that holds much of the data is split.
     """
-    if by and files_each:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_each))
-        df = df.repartition(*by, salt)
+    if by and gather:
+        df = df.hint("rebalance", *[F.col(name) for name in by])
     writer = df.write.mode("overwrite")
     if by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     writer.parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, limit: int, order: list[str]) -> None:
-    """The first ``limit`` rows in a stated order, as CSV with a header."""
-    df.orderBy(*order).limit(limit).write.mode("overwrite").csv(path, header=True, escape='"')
+def export_csv(df: DataFrame, path: str) -> None:
+    """All rows, as CSV with a header."""
+    df.write.mode("overwrite").csv(path, header=True, escape='"')
+
+
+def export_first_csv(df: DataFrame, path: str, limit: int, order: list[str]) -> None:
+    """The first ``limit`` rows in a stated order, as CSV with a header. ``order`` should be total, else
+    which of equal rows comes is left open."""
+    export_csv(df.orderBy(*order).limit(limit), path)

@@ -14,11 +14,20 @@ def topic_path(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/{topic}"
 
 
-def newest_file(spark: SparkSession, topic: str, root: str) -> Column:
-    """The time of the latest file of a topic's folder, as a constant."""
-    files = spark.read.text(topic_path(root, topic)).agg(
-        F.max("_metadata.file_modification_time"))
-    return F.lit(files.first()[0])
+def unread(spark: SparkSession, topic: str, root: str) -> Column:
+    """The condition that a message's file is newer than what the topic's folder holds now.
+
+    Only the files' names and times are listed, no message is read. Files of the same instant as the
+    newest are told apart by name.
+    """
+    at, name = F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")
+    files = spark.read.format("binaryFile").load(topic_path(root, topic)).select(
+        at.alias("at"), name.alias("name"))
+    newest = files.agg(F.max("at")).first()[0]
+    if newest is None:
+        return F.lit(True)
+    same = [row["name"] for row in files.filter(F.col("at") == F.lit(newest)).collect()]
+    return (at > F.lit(newest)) | ((at == F.lit(newest)) & ~name.isin(same))
 
 
 def read_topic(
@@ -29,7 +38,7 @@ def read_topic(
     """A topic as a streaming frame with the message text in ``value``.
 
     ``start="latest"`` leaves out what the topic held before: in Kafka by offset, in a folder by
-    files newer than ``since`` (``newest_file`` tells the current state). Consumer groups need no
+    files for which ``since`` holds (``unread`` tells the current state). Consumer groups need no
     setting: each query keeps its offsets in its checkpoint.
     """
     if servers:
@@ -45,8 +54,8 @@ def read_topic(
     lines = reader.load(topic_path(root, topic))
     if start == "latest":
         if since is None:
-            raise ValueError("a folder needs the time after which messages count as new")
-        lines = lines.filter(F.col("_metadata.file_modification_time") > since)
+            raise ValueError("a folder needs the condition under which messages count as new")
+        lines = lines.filter(since)
     return lines.select("value")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -61,10 +63,17 @@ def demand_messages(windows: DataFrame, ingested_at: Column | None = None) -> Da
     return messages.to_event_json(windows, "demand", clock)
 
 
+def match_messages(matches: DataFrame) -> DataFrame:
+    """Match rows as messages keyed by the trip."""
+    return messages.to_event_json(matches, "match", key="trip_id")
+
+
 def start_upsert(
     df: DataFrame, path: str, table: str, checkpoint: str, trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    return df.writeStream.foreachBatch(upsert_stream(path, table)).option(
+    """Upsert a stream into a serving table; its checkpoint names the writer."""
+    writer = "stream-" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    return df.writeStream.foreachBatch(upsert_stream(path, table, writer)).option(
         "checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
