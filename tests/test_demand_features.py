@@ -136,7 +136,9 @@ def test_training_scoring_and_storage(spark, tmp_path):
     asked = spark.createDataFrame([(1, "1970-01-20T10:00:00"), (9, "1970-01-20T10:00:00"),
                                    (1, "soon")], "zone_id int, datetime string")
     got = model.score(asked, loaded, slots).collect()
-    assert len(got) == 2 and all(r.predicted_demand >= 0 for r in got)
+    assert sorted((r.zone_id, r.datetime, r.reason) for r in got if r.reason) == [
+        (1, "soon", "unreadable:datetime")]
+    assert len(got) == 3 and all(r.predicted_demand >= 0 for r in got if r.reason is None)
     assert by_zone_rows(matrix, fitted, test, naive)
     search = model.tune(train, depths=(2, 3), folds=2, rounds=2)
     assert model.best_depth(search) in (2, 3)

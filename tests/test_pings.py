@@ -37,10 +37,19 @@ def test_zone_table_agrees_with_inline_boxes_for_any_cell_size(spark):
         assert rows(table.select("id", "zone_id")) == inline
 
 
-def test_long_zone_lists_must_come_as_table(spark):
-    many = [Zone(i, "z", 0.0, 1.0, 0.0, 1.0, 0.5, 0.5) for i in range(101)]
-    with pytest.raises(ValueError):
-        pings.zone_of("latitude", "longitude", many)
+def test_long_zone_lists_are_looked_up_as_a_table(spark):
+    many = [Zone(i, f"z{i}", i / 10, i / 10 + 0.15, 0.0, 1.0, i / 10, 0.5) for i in range(250)]
+    df = spark.createDataFrame([(i, i * 0.07 - 0.5, 0.4, 1.0) for i in range(400)], POINT)
+    placed = pings.assign_zone(df, zones=many)
+    one_by_one = df.withColumn("zone_id", pings.zone_of("latitude", "longitude", many))
+    assert rows(placed) == rows(one_by_one) and placed.columns == one_by_one.columns
+    hidden = pings.anonymize(placed, zones=many)
+    few = [z for z in many if z.zone_id < 60]
+    in_few = F.col("zone_id") < 60
+    assert rows(hidden.filter(in_few)) == rows(pings.anonymize(placed.filter(in_few), zones=few).select(hidden.columns))
+    assert rows(hidden.filter("zone_id = 99")) == rows(
+        placed.filter("zone_id = 99").withColumn("zone_name", F.lit("z99")).withColumns(
+            {"latitude": F.lit(9.9), "longitude": F.lit(0.5)}))
 
 
 def test_valid_pings(spark):
