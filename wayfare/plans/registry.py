@@ -33,6 +33,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 _kept: dict[tuple, object] = {}
 
 
+def forget() -> None:
+    """Make shared inputs anew from now on, so that a timing includes them."""
+    _kept.clear()
+
+
 def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], object]) -> object:
     """Make something that several queries of a session share; ``make`` gets an unused path."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
