@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.components import components
 from wayfare.llm.texts import pieces
+from wayfare.operators.components import components
 from wayfare.session import settle
 
 SEED = 42
@@ -298,8 +298,11 @@ def linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk:
 
 def _clusters(rows: DataFrame, masks: list[tuple[int, ...]], radius: int) -> DataFrame:
     """``node``, ``cluster``, ``component_id`` of each distinct fingerprint."""
-    groups = settle(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("fp").alias("fp")),
-                    "distinct-fingerprints")
+    if len(masks[0]) == 1:
+        groups = rows.groupBy("node").agg(F.min("doc_id").alias("least")).withColumn("fp", F.array("node"))
+    else:
+        groups = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("fp").alias("fp"))
+    groups = settle(groups, "distinct-fingerprints")
     roots = components(linked(groups.select("node", "fp"), masks, radius))
     named = groups.select("node", "least").join(roots, "node", "left")
     # a linked cluster's smallest id; fingerprints without a link keep their own
