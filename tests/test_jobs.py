@@ -25,9 +25,7 @@ def run(tmp_path, code):
 
 def test_workers_get_the_package(tmp_path):
     out = run(tmp_path, """
-        from wayfare import jobs
         from wayfare.operators import matching
-        jobs.ship(spark)
         pings = spark.createDataFrame([("X", 1, 1, 1372636853, 33.6, -7.6, 1.0, "AVAILABLE")], "city string, taxi_id int, "
             "zone_id int, event_time bigint, latitude double, longitude double, speed double, status string")
         requests = spark.createDataFrame([("X", "t", 5, 1, None, 1372636854000, "A")], "city string, trip_id string, "

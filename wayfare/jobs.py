@@ -9,33 +9,22 @@
     wayfare score      requests=/requests trips=/curated/trips model=/models/demand into=/forecasts
 
 Topics are Kafka's with ``servers``, else folders below ``root``. Streaming jobs run until stopped, or
-over what there is with ``once=true``. ``ship`` makes the package known to executors that lack it.
+over what there is with ``once=true``. Executors that lack the package get it from the driver.
 """
 
 from __future__ import annotations
 
-import os
-import shutil
 import sys
-import tempfile
 
 from pyspark.sql import SparkSession
 
 from wayfare import schemas
 from wayfare.operators import features, kpi, model, quality, trips
-from wayfare.session import build_session
+from wayfare.session import build_session, ship
 from wayfare.sources import files, serving_tables, topics
 from wayfare.streaming import jobs, matcher
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, for sessions whose workers do not have it installed."""
-    package = os.path.dirname(os.path.abspath(__file__))
-    archive = shutil.make_archive(
-        os.path.join(tempfile.mkdtemp(), "wayfare"), "zip", os.path.dirname(package), os.path.basename(package))
-    spark.sparkContext.addPyFile(archive)
-
-
 def _topic(spark: SparkSession, name: str, servers: str | None, root: str | None):
     return topics.read_topic(spark, name, servers=servers, root=root)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wayfare.functions.times import to_millis
 from wayfare.operators.dispatch import ELIGIBLE, Dispatcher, Request, Taxi, STALE_MS
-from wayfare.session import scratch_path, settle
+from wayfare.session import scratch_path, settle, ship
 
 HORIZON = 120                    # seconds a ping stays usable
 _LEVELS = HORIZON.bit_length()   # dyadic levels that cover an interval of that length
@@ -213,7 +213,7 @@ def match_replay(
     """
     if slab_seconds < HORIZON or warmup_seconds > slab_seconds:
         raise ValueError("a slab must be as long as the horizon and the warm-up")
-    spark = pings.sparkSession
+    spark = ship(pings.sparkSession)
     slab_ms, warm_ms = slab_seconds * 1000, warmup_seconds * 1000
     # stored once: later rounds read the stale slabs' events from there
     events = settle(as_events(pings, requests, unit).withColumn(

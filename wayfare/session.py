@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +22,7 @@ STREAM_CONF = {
 }
 
 _own_roots: set[str] = set()
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "wayfare", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,6 +41,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, if their Python does not find it (asked once a session)."""
+    if spark.sparkContext.applicationId in _shipped:
+        return spark
+
+    def look(batches):
+        import importlib.util
+
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"found": [importlib.util.find_spec("wayfare") is not None]})
+
+    look.__module__ = "__main__"  # sent as code, since the workers may lack this module
+    if not all(row.found for row in spark.range(1).mapInArrow(look, "found boolean").collect()):
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "wayfare"), "zip",
+                                      os.path.dirname(package), os.path.basename(package))
+        spark.sparkContext.addPyFile(archive)  # from the driver's own disk to the executors
+    _shipped.add(spark.sparkContext.applicationId)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session, or else the
     warehouse, which all of them share as well. Only a local session may name a local folder.
