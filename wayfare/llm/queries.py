@@ -105,7 +105,7 @@ def op9_rans_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_ids(spark, path, crc_only=True)
 
 
-@query("op10_stratified_shards")
+@query("op10_stratified_shards", python=False)
 def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = stratified_shards(table(spark, sf_dir, "documents"), shards=8)
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",

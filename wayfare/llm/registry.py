@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.session import prepare
+from wayfare.session import prepare, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,18 +17,21 @@ ORACLE: dict[str, str] = {}
 ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "400"}
 
 
-def ready(spark: SparkSession) -> SparkSession:
-    """The session with the options that the operators of this package rely on."""
+def ready(spark: SparkSession, python: bool = True) -> SparkSession:
+    """The session with the options that the operators of this package rely on, and, where they run
+    Python on the executors, with the package there."""
     prepare(spark)
+    if python:
+        ship(spark)
     for key, value in ARROW_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, python: bool = True) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(ready(spark), sf_dir)
+            return build(ready(spark, python), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

@@ -338,14 +338,15 @@ def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int
     about this Jaccard similarity or more.
 
     Two sets of similarity s differ in about arccos(2 s / (1 + s)) / pi of the bits. Documents within
-    that share plus one standard deviation are linked. At this distance blocks would be too narrow to
+    that share plus one and a half standard deviations are linked: with 256 bits 93 in 100 pairs of
+    similarity 0.8, practically all of 0.85, 40 in 100 of 0.7, 1 in 200 of 0.55. At this distance blocks would be too narrow to
     tell anything, so candidates agree under one of ``tables`` random masks; the masks
     have more bits the more fingerprints there are, so that a bucket has some dozens of them. A pair of
     similarity 0.8 is missed with a probability of 0.01 among 10^5 texts and of 0.1 among 10^7, one of
     0.9 in 1 of 1000 cases there.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radius = round(64 * words * share + math.sqrt(64 * words * share * (1 - share)))
+    radius = round(64 * words * share + 1.5 * math.sqrt(64 * words * share * (1 - share)))
     rows = settle(fingerprints(docs, width, words, seed, False, id_col, text_col), "fingerprints")
     n = rows.select(F.approx_count_distinct("node")).first()[0]
     bits = min(48, max(12, n.bit_length() - 5))
