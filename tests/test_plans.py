@@ -88,3 +88,20 @@ def test_candidates_meet_one_summed_row_per_level(spark):
     text = plan(matching.candidates(trips, pings))
     join = next(line for line in text.splitlines() if "Join" in line)
     assert "level" in join and "node" in join and "partial_min(taxi_id" in text
+
+
+@pytest.mark.parametrize("name", ["ml_split", "ml_baseline", "agg_zone_rmse", "join_zone_metrics", "join_lag"])
+def test_trips_are_read_once(spark, name):
+    """The slots or the matrix are stored; what follows reads the stored table."""
+    plan = catalog.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
+    assert "events.parquet" not in plan and "wayfare" in plan
+
+
+def test_pairs_that_cannot_meet_are_set_aside(spark):
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(30)] + [(100, 101, 1.0)],
+                                  "src long, dst long, length double")
+    pairs = spark.createDataFrame([(0, 1), (0, 101), (5, 500), (7, 7)], "origin long, destination long")
+    from wayfare.operators import routes
+    assert sorted(map(tuple, routes.connected(pairs, edges).collect())) == [(0, 1), (7, 7)]
+    found = routes.routes(pairs, edges).collect()
+    assert sorted((r.origin, r.destination, r.length) for r in found) == [(0, 1, 1.0), (7, 7, 0.0)]

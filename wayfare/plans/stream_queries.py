@@ -303,7 +303,7 @@ _RAW_TIME = "CASE WHEN trip_id::BIGINT % 2 = 0 THEN requested_at * 1000 ELSE req
 _ETA = """CASE status WHEN 'UNFULFILLED' THEN 0 WHEN 'MATCHED_FALLBACK' THEN 480 ELSE 180 END"""
 
 
-@query("st_match_replay", _matcher_sql("""
+_REPLAYED = _matcher_sql("""
     SELECT event_time AS t, event_time AS asked, 0 AS asks, taxi_id::VARCHAR AS id,
       zone_id AS zone, status, speed, latitude, longitude FROM zone_pings
     UNION ALL SELECT requested_at, requested_at, 1, trip_id, origin_zone, NULL, NULL, NULL, NULL
@@ -314,11 +314,21 @@ _ETA = """CASE status WHEN 'UNFULFILLED' THEN 0 WHEN 'MATCHED_FALLBACK' THEN 480
       call_type, coalesce(taxi::VARCHAR, 'NONE') AS matched_taxi,
       {_ETA} AS eta_seconds, status, decided * 1000 AS decided_at
     FROM trip_requests JOIN (SELECT trip AS trip_id, status, taxi, decided FROM played
-      WHERE status IS NOT NULL) USING (trip_id)"""))
+      WHERE status IS NOT NULL) USING (trip_id)""")
+
+
+@query("st_match_replay", _REPLAYED)
 def _(spark, sf_dir):
     return matching.match_replay(_city_pings(spark, sf_dir), _sent_requests(spark, sf_dir))
 
 
+@query("st_match_short_slabs", _REPLAYED)
+def _(spark, sf_dir):
+    """Slabs and warm-ups so short that states run on across them and slabs are played again."""
+    return matching.match_replay(_city_pings(spark, sf_dir), _sent_requests(spark, sf_dir),
+                                 slab_seconds=matching.HORIZON, warmup_seconds=30)
+
+
 @query("st_match_complete", with_tables("trip_requests", f"""
     SELECT '{CITY}' AS city, trip_id, rider_id, origin_zone, destination_zone, call_type,
       requested_at AS created_at FROM trip_requests"""))
