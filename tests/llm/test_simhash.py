@@ -147,7 +147,7 @@ def test_similar_documents(spark):
             rows.append((10 * i + 1, " ".join(words), "x"))
             copies.append(10 * i + 1)
     rows += [rows[5], rows[5], (1210, None, "x"), (1211, "", "x"), (None, "alone without id " * 3, "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, cluster string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hash string")
     kept = simhash.one_of_each(docs, simhash.similar(docs))
     assert kept.columns == docs.columns
     found = sorted(str(r.doc_id) for r in kept.collect())

@@ -357,9 +357,13 @@ def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those that repeat another one of their cluster: of each cluster
     the row of the smallest ``doc_id`` stays (of the same id, that of the smallest text hash)."""
+    mark = "_"
+    while any(name.startswith(mark) for name in docs.columns):
+        mark += "_"
+    hash_, kept_id, kept_hash = (f"{mark}{name}" for name in ("hash", "kept_id", "kept_hash"))
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
     kept = found.groupBy("cluster").agg(first).select("first.*").distinct().select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    own = docs.withColumn("_hash", F.xxhash64("text"))
-    match = own["doc_id"].eqNullSafe(kept["_kept_id"]) & (own["_hash"] == kept["_kept_hash"])
-    return own.join(kept, match, "left_semi").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+        F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash))
+    own = docs.withColumn(hash_, F.xxhash64("text"))
+    match = own["doc_id"].eqNullSafe(kept[kept_id]) & (own[hash_] == kept[kept_hash])
+    return own.join(kept, match, "left_semi").dropDuplicates(["doc_id", hash_]).select(*docs.columns)
