@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from wayfare.llm import bpe, texts
 from wayfare.llm.texts import pieces
-from wayfare.session import scratch_path
+from wayfare.session import remove_path, scratch_path
 
 MAGIC = b"RNS1"
 HEADER = struct.Struct("<4s6I")  # magic, ids, lanes, segments, steps in a segment, crc of ids, crc of table
@@ -279,6 +279,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_co
 
     coded = rows.mapInArrow(blocks, BLOCKS.format(kind=kind))
     coded.write.option("compression", "none").parquet(f"{path}/blocks")
+    remove_path(spark, stored)
     spark.createDataFrame([(table.frequencies.astype("<u4").tobytes(),)], "frequencies binary").coalesce(
         1).write.parquet(f"{path}/table")
 
