@@ -77,3 +77,14 @@ def test_empty_table(spark):
     path = scratch_path(spark, "rans-none")
     rans.write_ids(spark.createDataFrame([], "doc_id long, text string"), path, PATH)
     assert rans.read_ids(spark, path).collect() == []
+
+
+def test_library_words():
+    from .test_bpe import TRICKY
+
+    content = rans.bpe.read_vocabulary(PATH)
+    encoder = rans.bpe.Encoder(rans.bpe.vocabulary(content), rans._Library(content))
+    ids, starts = encoder(rans.texts.of_strings(TRICKY))
+    library = Tokenizer.from_file(PATH)
+    for text, a, b in zip(TRICKY, starts, starts[1:]):
+        assert ids[a:b].tolist() == library.encode(text or "", add_special_tokens=False).ids

@@ -34,14 +34,14 @@ class Vocabulary:
 
     def __init__(self, content: str):
         told = json.loads(content)
-        model, byte_of = told["model"], {c: b for b, c in _byte_signs().items()}
+        model, byte_of = told["model"], {c: b for b, c in byte_signs().items()}
         self.specials = {x["content"]: x["id"] for x in told["added_tokens"]}
         pieces_ = {i: bytes(byte_of[c] for c in piece) for piece, i in model["vocab"].items()}
         pieces_ |= {i: content.encode() for content, i in self.specials.items()}
         self.size = max(pieces_) + 1
         self.pieces = [pieces_.get(i, b"") for i in range(self.size)]
         ids = model["vocab"]
-        self.byte_ids = np.array([ids[c] for _, c in sorted(_byte_signs().items())], np.int32)
+        self.byte_ids = np.array([ids[c] for _, c in sorted(byte_signs().items())], np.int32)
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
@@ -53,7 +53,7 @@ class Vocabulary:
             if self.specials else None
 
 
-def _byte_signs() -> dict[int, str]:
+def byte_signs() -> dict[int, str]:
     """The printable sign that stands for each byte in byte-level vocabularies: itself for visible
     Latin-1 signs, the next free code point from 256 on for the others."""
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -156,18 +156,24 @@ def decode(block: bytes, table: Table, only: int | None = None) -> np.ndarray:
 # ---- on Spark
 
 class _Library:
-    """Ids of distinct words by the tokenizers library."""
+    """Ids of distinct words by the model of the tokenizers library, which takes words as byte signs."""
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.model = Tokenizer.from_str(content).model
+        self.signs = bpe.byte_signs()
+        self.specials = bpe.vocabulary(content).specials
+
+    def ids(self, word: str) -> list[int]:
+        if word in self.specials:
+            return [self.specials[word]]
+        signs = word.encode("utf-8", "replace").decode("latin-1").translate(self.signs)
+        return [token.id for token in self.model.tokenize(signs)]
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found = [self.ids(word) for word in words]
         counts = np.array([len(x) for x in found], np.int32)
         return np.fromiter((i for x in found for i in x), np.int32, int(counts.sum())), counts
 
