@@ -77,8 +77,8 @@ def nearest_node(
     """Add ``node_id``, the nearest node to (lon, lat); the smaller id where two are as near.
 
     ``points`` needs a unique ``point_id``. The nodes lie in a grid of which no cell holds more
-    than a few places, and a point looks into the nine cells around it, each one row with the
-    short list of its nodes. Points further from any node than that go down a pyramid of cells:
+    than a few places. Each cell keeps one row with the nodes of the nine cells around it, so a point
+    meets a single row and nothing has to be gathered after. Points further from any node than that go down a pyramid of cells:
     at each step only cells survive that can still hold the nearest node.
     """
     size, levels, x0, y0 = _pyramid(nodes, lon_scale)
@@ -102,12 +102,12 @@ def nearest_node(
     at_i, at_j = cell(F.col("lon"), lon_scale, x0), cell(F.col("lat"), 1.0, y0)
     steps = F.array(*[F.struct(F.lit(i).alias("di"), F.lit(j).alias("dj"))
                       for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    around = asked.withColumns({"_i": at_i, "_j": at_j}).withColumn("_s", F.explode(steps)).select(
-        "point_id", "lon", "lat", (F.col("_i") + F.col("_s.di")).alias("i"),
-        (F.col("_j") + F.col("_s.dj")).alias("j"))
+    around = leaves.select("i", "j", "held", F.explode(steps).alias("s")).groupBy(
+        (F.col("i") + F.col("s.di")).alias("i"), (F.col("j") + F.col("s.dj")).alias("j")).agg(
+        F.flatten(F.collect_list("held")).alias("held"))
     # Nothing outside the nine cells is nearer than one cell width.
-    near = around.join(leaves, ["i", "j"], "left").groupBy("point_id", "lon", "lat").agg(
-        F.min(nearest_held()).alias("best"))
+    near = asked.withColumns({"i": at_i, "j": at_j}).join(around, ["i", "j"], "left").select(
+        "point_id", "lon", "lat", nearest_held().alias("best"))
     close = F.coalesce(F.col("best.d") <= size * size, F.lit(False))
     near = settle(near)
     done = near.filter(close).select("point_id", F.col("best.node_id").alias("node_id"))
