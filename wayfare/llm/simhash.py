@@ -30,6 +30,7 @@ from wayfare.session import settle
 
 SEED = 42
 CHUNK = 2048  # fingerprints of a bucket in one piece
+SENT_BUCKETS = 100_000  # at most so many large buckets are sent to all tasks
 
 
 # ---- fingerprints
@@ -262,7 +263,9 @@ def linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk:
     keys = [F.xxhash64(F.lit(i), *(F.col("fp")[w].bitwiseAND(F.lit(_signed(m)).cast("bigint"))
                                    for w, m in enumerate(mask))) for i, mask in enumerate(masks)]
     rows = groups.select(F.explode(F.array(*keys)).alias("bucket"), "node", "fp")
-    large = rows.groupBy("bucket").count().where(F.col("count") > chunk)
+    large = settle(rows.groupBy("bucket").count().where(F.col("count") > chunk), "large-buckets")
+    if large.count() <= SENT_BUCKETS:  # else it is joined like any table
+        large = F.broadcast(large)
     one = F.lit(None).cast("bigint")
     rows = (rows.join(large, "bucket", "left").withColumn("chunks", F.ceil(F.col("count") / chunk))
             .withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), "chunks"))
