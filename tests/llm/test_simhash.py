@@ -154,3 +154,49 @@ def test_similar_documents(spark):
     assert len([c for c in copies if str(c) in found]) <= 1
     clean = [str(r[0]) for r in rows if r[0] not in copies]
     assert set(clean) - set(found) == {"1211"} and len(set(found)) == len(found)
+
+
+def some_bits(seed, n, words=4):
+    return np.random.default_rng(seed).integers(0, 1 << 63, (n, words), np.uint64) * np.uint64(2)
+
+
+def pair_of(rng, size, shared):
+    """Two sets of hashes of this size with so many in common."""
+    hashes = rng.integers(0, 1 << 63, 2 * size - shared, np.uint64) * np.uint64(2) + np.uint64(1)
+    hashes ^= rng.integers(0, 2, len(hashes), np.uint64)
+    return hashes[:size], hashes[size - shared:]
+
+
+@pytest.mark.parametrize("n", [10**3, 10**5, 10**7, 10**8])
+def test_recall_is_the_same_for_any_number_of_texts(n):
+    rng = np.random.default_rng(n)
+    share, radius = np.arccos(1.6 / 1.8) / np.pi, 47
+    masks = np.array(simhash.search_masks(n, 4, share, radius, 0.005), np.uint64)
+    assert 2 ** np.bitwise_count(masks).sum(1).max() * 16 <= max(n, 16 * 2 ** 12)
+    pairs = [pair_of(rng, 180, 160) for _ in range(2000)]  # similarity 0.8
+    hashes = np.concatenate([h for pair in pairs for h in pair])
+    starts = np.arange(0, len(hashes) + 1, 180)
+    fps = np.stack([simhash.majority(simhash.mixed(hashes, w), starts, True) for w in range(4)], axis=1)
+    differ = fps[::2] ^ fps[1::2]
+    differ = differ[np.bitwise_count(differ).sum(1) <= radius]
+    assert len(differ) > 1700
+    found = ((differ[:, None, :] & masks[None]) == 0).all(2).any(1)
+    assert found.mean() > 0.98
+
+
+def test_ties_set_as_many_bits_as_not():
+    hashes = some_bits(5, 4000, 1).ravel()
+    found = simhash.majority(hashes, np.arange(0, 4001, 2), True)
+    bits = np.bitwise_count(found >> np.uint64(1)).mean() / 63  # the lowest is 0 in all hashes
+    assert abs(bits - 0.5) < 0.02
+    assert abs(np.bitwise_count(simhash.majority(hashes, np.arange(0, 4001, 2))).mean() / 63 - 0.25) < 0.02
+
+
+def test_rounds_of_masks(spark, monkeypatch):
+    fps = some_bits(9, 40).view(np.int64)
+    rows = [(2 * i, f.tolist()) for i, f in enumerate(fps)] + [(2 * i + 1, [int(f[0]) ^ 5, *f[1:].tolist()])
+                                                               for i, f in enumerate(fps)]
+    groups = spark.createDataFrame(rows, "node long, fp array<long>")
+    monkeypatch.setattr(simhash, "ROUND", 7)
+    links = simhash.linked(groups, simhash.sampled_masks(4, 12, 20), 47).collect()
+    assert {(min(r.a, r.b), max(r.a, r.b)) for r in links} == {(2 * i, 2 * i + 1) for i in range(40)}

@@ -16,12 +16,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 from itertools import combinations
 from random import Random
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm.texts import pieces
@@ -31,6 +33,7 @@ from wayfare.session import settle
 SEED = 42
 CHUNK = 2048  # fingerprints of a bucket in one piece
 SENT_BUCKETS = 100_000  # at most so many large buckets are sent to all tasks
+ROUND = 32  # masks searched at a time, so that the disk holds the rows of so many
 
 
 # ---- fingerprints
@@ -61,8 +64,9 @@ def mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return z ^ (z >> np.uint64(29))
 
 
-def majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """For each slice of hashes the bits that are set in more than half of them."""
+def majority(hashes: np.ndarray, starts: np.ndarray, ties: bool = False) -> np.ndarray:
+    """For each slice of hashes the bits that are set in more than half of them; with ``ties``, where
+    just half have it, the bit of a hash made from the smallest."""
     found = np.zeros(len(starts) - 1, np.uint64)
     lens = np.diff(starts)
     full = np.flatnonzero(lens)
@@ -71,13 +75,18 @@ def majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         counts = np.add.reduceat(bits, starts[full], axis=0, dtype=np.int32)
         most = np.packbits(2 * counts > lens[full, None], axis=1, bitorder="little")
         found[full] = np.ascontiguousarray(most).view("<u8").ravel()
+        if ties:
+            even = np.packbits(2 * counts == lens[full, None], axis=1, bitorder="little")
+            least = mixed(np.minimum.reduceat(hashes, starts[full]), 1 << 32)
+            found[full] |= np.ascontiguousarray(even).view("<u8").ravel() & least
     return found
 
 
 def fingerprints(docs: DataFrame, width: int = 4, words: int = 1, seed: int = SEED, repeats: bool = True,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fp`` (the fingerprint's 64-bit words as signed longs), ``node`` (the first word, or
-    a hash of several), ``text_hash``. Without ``repeats`` each different shingle of a text counts once.
+    a hash of several), ``text_hash``. Without ``repeats`` each different shingle of a text counts once,
+    and ties are broken by a hash bit, so that short texts do not crowd at few fingerprints.
 
     Null texts and texts without words have fingerprint 0. Whole texts; other columns are ignored.
     """
@@ -90,7 +99,7 @@ def fingerprints(docs: DataFrame, width: int = 4, words: int = 1, seed: int = SE
                 hashes = [np.unique(h) for h in hashes]
             starts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
             hashes = np.concatenate(hashes)
-            found = np.stack([majority(mixed(hashes, w), starts) for w in range(words)], axis=1)
+            found = np.stack([majority(mixed(hashes, w), starts, not repeats) for w in range(words)], axis=1)
             edges = pa.array(np.arange(0, found.size + 1, words), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.ListArray.from_arrays(edges, pa.array(found.view(np.int64).ravel())),
@@ -252,13 +261,54 @@ def sampled_masks(words: int, bits: int, tables: int) -> list[tuple[int, ...]]:
     return [tuple(sum(1 << b % 64 for b in own if b // 64 == w) for w in range(words)) for own in drawn]
 
 
+def mask_bits(n: int) -> int:
+    """So many bits that a bucket has some dozens of ``n`` fingerprints."""
+    return min(48, max(12, n.bit_length() - 5))
+
+
+def search_masks(n: int, words: int, share: float, radius: int, miss: float) -> list[tuple[int, ...]]:
+    """Masks for ``n`` fingerprints: as many as it takes that of the pairs which differ in ``share`` of
+    their bits on average, and in at most ``radius``, no more than ``miss`` agree under none."""
+    size, bits = 64 * words, mask_bits(n)
+    cases = [(math.comb(size, h) * share ** h * (1 - share) ** (size - h),
+              math.comb(size - h, bits) / math.comb(size, bits)) for h in range(radius + 1)]
+    allowed = miss * sum(weight for weight, _ in cases)
+    tables = 1
+    while sum(weight * (1 - agree) ** tables for weight, agree in cases) > allowed:
+        tables += 1
+    return sampled_masks(words, bits, tables)
+
+
 def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+@contextmanager
+def _freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile leaves no shuffle files behind."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int = CHUNK) -> DataFrame:
     """``a``, ``b``: links between distinct fingerprints that agree under a mask and differ in at most
-    ``radius`` bits, enough of them to connect all that are connected so."""
+    ``radius`` bits, enough of them to connect all that are connected so. More than ``ROUND`` masks are
+    searched in several rounds."""
+    rounds = -(-len(masks) // ROUND)
+    if rounds == 1:
+        return _linked(groups, masks, radius, chunk)
+    with _freed_shuffles(groups.sparkSession):
+        parts = [settle(_linked(groups, masks[i::rounds], radius, chunk).distinct(), "round")
+                 for i in range(rounds)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int) -> DataFrame:
     words = len(masks[0])
     keys = [F.xxhash64(F.lit(i), *(F.col("fp")[w].bitwiseAND(F.lit(_signed(m)).cast("bigint"))
                                    for w, m in enumerate(mask))) for i, mask in enumerate(masks)]
@@ -335,25 +385,24 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, seed: int
         "text_hash")
 
 
-def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int = 4, tables: int = 40,
+def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int = 4, miss: float = 0.005,
             seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``component_id``, ``cluster``, ``text_hash``: documents whose sets of shingles have
     about this Jaccard similarity or more.
 
     Two sets of similarity s differ in about arccos(2 s / (1 + s)) / pi of the bits. Documents within
     that share plus one and a half standard deviations are linked: with 256 bits 93 in 100 pairs of
-    similarity 0.8, practically all of 0.85, 40 in 100 of 0.7, 1 in 200 of 0.55. At this distance blocks would be too narrow to
-    tell anything, so candidates agree under one of ``tables`` random masks; the masks
-    have more bits the more fingerprints there are, so that a bucket has some dozens of them. A pair of
-    similarity 0.8 is missed with a probability of 0.01 among 10^5 texts and of 0.1 among 10^7, one of
-    0.9 in 1 of 1000 cases there.
+    similarity 0.8, practically all of 0.85, 40 in 100 of 0.7, 1 in 200 of 0.55. At this distance
+    blocks would be too narrow to tell anything, so candidates agree under one of many random masks.
+    The masks have more bits the more fingerprints there are, so that a bucket has some dozens of
+    them, and there are the more masks for it: of the pairs of this similarity within the distance
+    they miss ``miss`` whatever the size of the table, of more similar ones fewer.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     radius = round(64 * words * share + 1.5 * math.sqrt(64 * words * share * (1 - share)))
     rows = settle(fingerprints(docs, width, words, seed, False, id_col, text_col), "fingerprints")
     n = rows.select(F.approx_count_distinct("node")).first()[0]
-    bits = min(48, max(12, n.bit_length() - 5))
-    named = _clusters(rows, sampled_masks(words, bits, tables), radius)
+    named = _clusters(rows, search_masks(n, words, share, radius, miss), radius)
     return rows.join(named, "node").select("doc_id", "component_id", "cluster", "text_hash")
 
 
