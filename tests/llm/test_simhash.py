@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from wayfare.llm import simhash
 from wayfare.operators.components import components
@@ -200,3 +201,60 @@ def test_rounds_of_masks(spark, monkeypatch):
     monkeypatch.setattr(simhash, "ROUND", 7)
     links = simhash.linked(groups, simhash.sampled_masks(4, 12, 20), 47).collect()
     assert {(min(r.a, r.b), max(r.a, r.b)) for r in links} == {(2 * i, 2 * i + 1) for i in range(40)}
+
+
+def family(seed, shares, n=200):
+    """A text of ``n`` words and copies, each with the last words replaced to have about this similarity."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(n)]
+    made = [base]
+    for s in shares:
+        keep = round(2 * s / (1 + s) * (n - 4)) + 4
+        made.append(base[:keep] + [word() for _ in range(n - keep)])
+    return [" ".join(m) for m in made]
+
+
+def plain_groups(texts, similarity=0.8, width=5):
+    sets = [{tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))} for w in map(str.split, texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("tight", [None, 47])
+def test_links_are_of_the_similarity(spark, monkeypatch, tight):
+    texts = [t for i in range(12) for t in family(i, [0.76, 0.7, 0.74, 0.65, 0.78, 0.9, 0.95])]
+    texts += [t for i in range(50, 53) for t in family(i, [0.86, 0.88, 0.9, 0.92] * 5)]
+    texts += ["a b c d e", "a b c d e f", "a b c d e f g", "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    if tight:  # many links are taken for sure that are not: what they stood for is compared again
+        plain = simhash.verified
+        monkeypatch.setattr(simhash, "verified", lambda g, m, r, t, *more: plain(g, m, r, tight, *more))
+    found = {r.doc_id: r.component_id for r in simhash.similar(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == plain_groups(texts)
+
+
+def test_equal_fingerprints_of_unlike_texts_stay_apart(spark, monkeypatch):
+    own = simhash.fingerprints
+    zero = F.array(*[F.lit(0).cast("long")] * 4)
+    monkeypatch.setattr(simhash, "fingerprints", lambda *given: own(*given).withColumn("fp", zero))
+    texts = ["a b c d e f", "A  b c d e f", "q r s t u v w x", None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.similar(rows).collect()}
+    assert found == {0: 0, 1: 0, 2: 2, 3: 3, 4: 3}
+
+
+def test_many_near_copies_need_few_links():
+    rng = np.random.default_rng(2)
+    fps = np.repeat(some_bits(2, 1), 600, axis=0)
+    for i in range(1, 600):
+        fps[i, rng.integers(0, 4)] ^= np.uint64(1) << rng.integers(0, 64, dtype=np.uint64)
+    i, j, near = simhash.links_in_buckets(np.zeros(600, np.int64), fps, 56, 22)
+    assert len(i) == 599 and near.all()
+    i, j, near = simhash.links_in_buckets(np.zeros(600, np.int64), fps, 56, -1)
+    assert len(i) == 600 * 599 // 2 and not near.any()

@@ -15,7 +15,7 @@ within a task are passed on.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 from itertools import combinations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.texts import pieces
 from wayfare.operators.components import components
-from wayfare.session import settle
+from wayfare.session import release, settle
 
 SEED = 42
 CHUNK = 2048  # fingerprints of a bucket in one piece
@@ -84,32 +84,37 @@ def majority(hashes: np.ndarray, starts: np.ndarray, ties: bool = False) -> np.n
 
 def fingerprints(docs: DataFrame, width: int = 4, words: int = 1, seed: int = SEED, repeats: bool = True,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint's 64-bit words as signed longs), ``node`` (the first word, or
-    a hash of several), ``text_hash``. Without ``repeats`` each different shingle of a text counts once,
-    and ties are broken by a hash bit, so that short texts do not crowd at few fingerprints.
+    """``doc_id``, ``fp`` (the fingerprint's 64-bit words as signed longs), ``node`` (the first word),
+    ``text_hash``. Without ``repeats`` each different shingle of a text counts once, ties are broken by
+    a hash bit, so that short texts do not crowd at few fingerprints, and ``node`` is a hash of the
+    text's set of shingles.
 
     Null texts and texts without words have fingerprint 0. Whole texts; other columns are ignored.
     """
 
     def fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
         for piece in pieces(batches, "text"):
             hashes = [np.array(shingle_hashes(t, width, seed), np.uint64)
                       for t in piece.column("text").to_pylist()]
             if not repeats:
                 hashes = [np.unique(h) for h in hashes]
+                nodes = np.array([xxh64_intdigest(h.tobytes(), seed) for h in hashes], np.uint64)
             starts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
             hashes = np.concatenate(hashes)
             found = np.stack([majority(mixed(hashes, w), starts, not repeats) for w in range(words)], axis=1)
+            if repeats:
+                nodes = found[:, 0]
             edges = pa.array(np.arange(0, found.size + 1, words), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.ListArray.from_arrays(edges, pa.array(found.view(np.int64).ravel())),
-                 piece.column("text_hash")], ["doc_id", "fp", "text_hash"])
+                 pa.array(nodes.view(np.int64)), piece.column("text_hash")], ["doc_id", "fp", "node", "text_hash"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = docs.select(
+    return docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"),
-    ).mapInArrow(fingerprint, f"doc_id {kind}, fp array<bigint>, text_hash bigint")
-    return found.withColumn("node", F.col("fp")[0] if words == 1 else F.xxhash64("fp"))
+    ).mapInArrow(fingerprint, f"doc_id {kind}, fp array<bigint>, node bigint, text_hash bigint")
 
 
 # ---- bit-sliced comparison
@@ -199,10 +204,14 @@ def near_neighbours(planes: np.ndarray, by: int, open_: np.ndarray, radius: int)
     return words[lanes // 64] * 64 + lanes % 64
 
 
-def links_in_buckets(buckets: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span the groups within each bucket; ``buckets`` is sorted, ``fps`` has rows of words."""
+def links_in_buckets(buckets: np.ndarray, fps: np.ndarray, radius: int,
+                     tight: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both ends of links within each bucket, and which are within ``tight`` bits; of those so many that
+    they span their groups, of the wider ones all between different groups. ``buckets`` is sorted, ``fps``
+    has rows of words."""
     root = np.arange(len(fps))
     ones, others = [], []
+    wide = []
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -228,6 +237,11 @@ def links_in_buckets(buckets: np.ndarray, fps: np.ndarray, radius: int) -> tuple
         lanes = near_neighbours(planes, by, np.packbits(open_, bitorder="little").view("<u8"), radius)
         left, right = own[lanes], own[lanes + by]
         new = root[left] != root[right]
+        if tight < radius:
+            far = np.bitwise_count(fps[left] ^ fps[right]).sum(1) > tight
+            if (new & far).any():
+                wide.append(np.stack([left[new & far], right[new & far]]))
+            new &= ~far
         joined = False
         for i, j in zip(left[new].tolist(), right[new].tolist()):
             a, b = find(i), find(j)
@@ -239,7 +253,10 @@ def links_in_buckets(buckets: np.ndarray, fps: np.ndarray, radius: int) -> tuple
         while joined and (root[root] != root).any():
             root = root[root]
         by += 1
-    return np.array(ones, np.int64), np.array(others, np.int64)
+    apart = np.concatenate([np.empty((2, 0), np.int64), *wide], axis=1)
+    apart = apart[:, root[apart[0]] != root[apart[1]]]
+    return (np.concatenate([np.array(ones, np.int64), apart[0]]),
+            np.concatenate([np.array(others, np.int64), apart[1]]), np.arange(len(ones) + apart.shape[1]) < len(ones))
 
 
 # ---- on Spark
@@ -295,20 +312,23 @@ def _freed_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int = CHUNK) -> DataFrame:
-    """``a``, ``b``: links between distinct fingerprints that agree under a mask and differ in at most
-    ``radius`` bits, enough of them to connect all that are connected so. More than ``ROUND`` masks are
-    searched in several rounds."""
+def linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int = CHUNK,
+           tight: int | None = None) -> DataFrame:
+    """``a``, ``b``, ``tight``: links between nodes whose fingerprints agree under a mask and differ in at
+    most ``radius`` bits, enough of them to connect all that are connected so. With ``tight`` that holds for
+    the links of at most so many bits, which are marked; of the wider ones all are there but those
+    whose ends the marked ones connect. More than ``ROUND`` masks are searched in several rounds."""
+    tight = radius if tight is None else tight
     rounds = -(-len(masks) // ROUND)
     if rounds == 1:
-        return _linked(groups, masks, radius, chunk)
+        return _linked(groups, masks, radius, chunk, tight)
     with _freed_shuffles(groups.sparkSession):
-        parts = [settle(_linked(groups, masks[i::rounds], radius, chunk).distinct(), "round")
+        parts = [settle(_linked(groups, masks[i::rounds], radius, chunk, tight).distinct(), "round")
                  for i in range(rounds)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int) -> DataFrame:
+def _linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int, tight: int) -> DataFrame:
     words = len(masks[0])
     keys = [F.xxhash64(F.lit(i), *(F.col("fp")[w].bitwiseAND(F.lit(_signed(m)).cast("bigint"))
                                    for w, m in enumerate(mask))) for i, mask in enumerate(masks)]
@@ -329,8 +349,10 @@ def _linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk:
         held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, words), np.uint64)]
 
         def done(buckets: np.ndarray, nodes: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-            i, j = links_in_buckets(buckets, fps, radius)
-            return pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], ["a", "b"])
+            i, j, near = links_in_buckets(buckets, fps, radius, tight)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(nodes[i], nodes[j])), pa.array(np.maximum(nodes[i], nodes[j])), pa.array(near)],
+                ["a", "b", "tight"])
 
         waiting: list[list[np.ndarray]] = []
         size = 0
@@ -346,17 +368,14 @@ def _linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk:
         yield done(*(np.concatenate(x) for x in zip(held, *waiting)))
 
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        compare, "a bigint, b bigint")
+        compare, "a bigint, b bigint, tight boolean")
 
 
-def _clusters(rows: DataFrame, masks: list[tuple[int, ...]], radius: int) -> DataFrame:
-    """``node``, ``cluster``, ``component_id`` of each distinct fingerprint."""
-    if len(masks[0]) == 1:
-        groups = rows.groupBy("node").agg(F.min("doc_id").alias("least")).withColumn("fp", F.array("node"))
-    else:
-        groups = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("fp").alias("fp"))
-    groups = settle(groups, "distinct-fingerprints")
-    roots = components(linked(groups.select("node", "fp"), masks, radius))
+def _clusters(rows: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``node``, ``cluster``, ``component_id`` of each node; ``links`` finds ``a``, ``b`` for ``node``, ``fp``."""
+    groups = settle(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("fp").alias("fp")),
+                    "distinct-fingerprints")
+    roots = components(links(groups.select("node", "fp")))
     named = groups.select("node", "least").join(roots, "node", "left")
     # a linked cluster's smallest id; fingerprints without a link keep their own
     whole = F.coalesce("root", "node").alias("cluster")
@@ -379,30 +398,97 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, seed: int
     any id has a null ``component_id``. An empty table gives no rows.
     """
     rows = settle(fingerprints(docs, width, 1, seed, True, id_col, text_col), "fingerprints")
-    named = _clusters(rows, block_masks(radius), radius)
+    named = _clusters(rows.withColumn("fp", F.col("node")),
+                      lambda groups: linked(groups.withColumn("fp", F.array("node")), block_masks(radius), radius))
     return rows.join(named, "node").select(
         "doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id", "cluster",
         "text_hash")
 
 
+def shingle_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, seed: int = SEED,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``node``, ``shingles``: the set of shingle hashes of each of the ``nodes``, from one text of each.
+    ``rows`` are the fingerprints of ``docs``."""
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    chosen = rows.join(nodes, "node", "left_semi").groupBy("node").agg(first).select(
+        "node", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                      F.xxhash64(text_col).alias("text_hash"))
+    match = own["doc_id"].eqNullSafe(chosen["first_id"]) & (own["text_hash"] == chosen["first_hash"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            hashes = [np.unique(np.array(shingle_hashes(t, width, seed), np.uint64))
+                      for t in piece.column("text").to_pylist()]
+            edges = pa.array(np.concatenate([[0], np.cumsum([len(h) for h in hashes])]), pa.int32())
+            yield pa.RecordBatch.from_arrays([piece.column("node"), pa.ListArray.from_arrays(
+                edges, pa.array(np.concatenate(hashes).view(np.int64)))], ["node", "shingles"])
+
+    found = own.join(chosen, match).select("node", "text").mapInArrow(sets, "node bigint, shingles array<bigint>")
+    return found.groupBy("node").agg(F.any_value("shingles").alias("shingles"))  # rows may be repeated
+
+
+def compared(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links with ``same``: whether their sets have this Jaccard similarity or more."""
+    both = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("one")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b")
+    shared = F.size(F.array_intersect("one", "other"))
+    whole = F.size("one") + F.size("other") - shared
+    return both.select("a", "b", "tight", (shared >= similarity * whole - 1e-9).alias("same"))
+
+
+def verified(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, tight: int,
+             sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """``a``, ``b``: links of ``linked`` whose shingle sets have the similarity, enough of them to connect all
+    that are connected so.
+
+    Links of at most ``tight`` bits are hardly ever wrong, so most groups need few links and no pairs.
+    Where one is wrong after all, it may stand for right ones, and among all the nodes that hang
+    together with it every pair is compared.
+    """
+    def right(found: DataFrame) -> DataFrame:
+        found = settle(found.distinct(), "candidates")
+        with _freed_shuffles(groups.sparkSession):
+            sets = settle(sets_of(found.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "shingles")
+            checked = settle(compared(found, sets, similarity), "compared")
+        release(found, sets)
+        return checked
+
+    checked = right(linked(groups, masks, radius, tight=tight))
+    wrong = checked.where("tight and not same")
+    if not wrong.isEmpty():
+        roots = components(checked.where("tight"))
+        hit = wrong.select(F.col("a").alias("node")).join(roots, "node", "left").select(
+            F.coalesce("root", "node").alias("root")).distinct()
+        nodes = roots.join(hit, "root").select("node").union(hit)
+        again = right(linked(settle(groups.join(nodes, "node", "left_semi"), "again"), masks, radius, tight=-1))
+        checked = checked.unionByName(again)
+    return checked.where("same").select("a", "b")
+
+
 def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int = 4, miss: float = 0.005,
             seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``component_id``, ``cluster``, ``text_hash``: documents whose sets of shingles have
-    about this Jaccard similarity or more.
+    """``doc_id``, ``component_id``, ``cluster``, ``text_hash``: documents are linked if their sets of
+    shingles have this Jaccard similarity or more.
 
-    Two sets of similarity s differ in about arccos(2 s / (1 + s)) / pi of the bits. Documents within
-    that share plus one and a half standard deviations are linked: with 256 bits 93 in 100 pairs of
-    similarity 0.8, practically all of 0.85, 40 in 100 of 0.7, 1 in 200 of 0.55. At this distance
+    Fingerprints find the candidates, the sets of shingles decide, so no link is below the similarity.
+    Two sets of similarity s differ in about arccos(2 s / (1 + s)) / pi of the bits. Candidates are
+    documents within that share plus three standard deviations, 999 in 1000 pairs of similarity 0.8
+    and practically all of 0.85. At this distance
     blocks would be too narrow to tell anything, so candidates agree under one of many random masks.
     The masks have more bits the more fingerprints there are, so that a bucket has some dozens of
     them, and there are the more masks for it: of the pairs of this similarity within the distance
     they miss ``miss`` whatever the size of the table, of more similar ones fewer.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radius = round(64 * words * share + 1.5 * math.sqrt(64 * words * share * (1 - share)))
+    spread = 3 * math.sqrt(64 * words * share * (1 - share))
+    radius, tight = round(64 * words * share + spread), max(0, round(64 * words * share - spread))
     rows = settle(fingerprints(docs, width, words, seed, False, id_col, text_col), "fingerprints")
     n = rows.select(F.approx_count_distinct("node")).first()[0]
-    named = _clusters(rows, search_masks(n, words, share, radius, miss), radius)
+    masks = search_masks(n, words, share, radius, miss)
+    named = _clusters(rows, lambda groups: verified(
+        groups, masks, radius, tight, lambda nodes: shingle_sets(docs, rows, nodes, width, seed, id_col, text_col),
+        similarity))
     return rows.join(named, "node").select("doc_id", "component_id", "cluster", "text_hash")
 
 
