@@ -76,3 +76,16 @@ def test_empty_tables(spark):
     assert decontaminate.contaminated(docs.limit(0), items).collect() == []
     assert decontaminate.contaminated(docs, items).count() == 1
     assert decontaminate.without_contaminated(docs, items.limit(0)).count() == 1
+
+
+@pytest.mark.parametrize("block", [20_000, 20])
+def test_items_of_the_same_words_are_one_item(spark, block):
+    rng = random.Random(4)
+    sequences = [["".join(rng.choice("abcdéßİΣ") for _ in range(5)) for _ in range(9)] for _ in range(12)]
+    items = [(12 * k + i, sep.join(ws)) for k, sep in enumerate([", ", "  ", " - ", ".\n"]) for i, ws in enumerate(sequences)]
+    items += [(100 + i, "(" + " ".join(ws).upper().lower() + ")!") for i, ws in enumerate(sequences)]
+    rows = [(i, "before " + " ".join(ws) + " after") for i, ws in enumerate(sequences)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    got = decontaminate.contaminated(docs, bench, block_items=block).collect()
+    assert sorted((str(r.doc_id), r.item_id, r.n_item, r.n_shared) for r in got) == plain(rows, items)

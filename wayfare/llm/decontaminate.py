@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from wayfare.llm import texts
 from wayfare.llm.texts import pieces
+from wayfare.session import settle
 
 WIDTH, CONTAINMENT, HASHES = 5, 0.8, 64
 BLOCK_ITEMS = 20_000
@@ -209,15 +210,32 @@ def _candidates(text: Words, width: int, parts: list[tuple[int, _Part]]) -> set[
     return found
 
 
+def _sequence_hashes(items: DataFrame) -> DataFrame:
+    """``id``, ``text`` and ``words``, a hash of the text's sequence of words."""
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for piece in pieces(batches, "text"):
+            own = Words(piece.column("text").to_pylist())
+            found = [xxh64_intdigest(own.hashes[begin:end].tobytes()) for begin, end in zip(own.first, own.first[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns, pa.array(np.array(found, np.uint64).view(np.int64))], ["id", "text", "words"])
+
+    kind = items.schema["id"].dataType.simpleString()
+    return items.mapInArrow(hashed, f"id {kind}, text string, words bigint")
+
+
 def item_blocks(items: DataFrame, id_col: str, text_col: str, size: int) -> Iterator[tuple[list, list]]:
     """The items in blocks of about ``size`` rows, one after the other on the driver."""
-    items = items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, text_col)
+    items = items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     blocks = max(1, -(-items.count() // size))
-    # equal texts fall into one block, where the smallest id stands for all
-    block = F.pmod(F.xxhash64(F.lower(text_col)), F.lit(blocks))
+    # items of the same words fall into one block, where the smallest id stands for all
+    if blocks > 1:
+        items = settle(_sequence_hashes(items), "items")
     for i in range(blocks):
-        rows = items.where(block == i).collect()
-        yield [r[0] for r in rows], [r[1] for r in rows]
+        rows = (items.where(F.pmod("words", F.lit(blocks)) == i) if blocks > 1 else items).collect()
+        yield [r["id"] for r in rows], [r["text"] for r in rows]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, id_col: str = "doc_id",
