@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, decontaminate, langid, quality, rans, simhash, topk, toxicity, wordpiece
+from wayfare.llm import bpe, decontaminate, langid, quality, rans, simhash, topk, toxicity, variants, wordpiece
 from wayfare.llm.registry import ORACLE, QUERIES, query, table
 from wayfare.llm.sharding import stratified_shards
 from wayfare.session import scratch_path
@@ -111,3 +111,51 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                          "slot", F.lit(None).cast("int").alias("grown_shard"),
                          F.col("stratum").alias("source"))
+
+
+@query("op11_spelling_variants", """
+WITH RECURSIVE bits AS (
+  SELECT i AS n, i AS v, 0 AS k FROM range(256) AS r(i)
+  UNION ALL
+  SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY n) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT d, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents) WHERE length(run) >= 7),
+counted AS (
+  SELECT d, run, count(*) AS n, flatten(list_transform(string_split(d || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS bytes
+  FROM runs GROUP BY d, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b:
+    xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM counted, crc),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+        FROM hashed) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+without AS (
+  SELECT word, n, p, word[:p - 1] || word[p + 1:] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)),
+near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS m FROM without AS a JOIN words AS b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM without AS a JOIN words AS b ON a.rest = b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM without AS a JOIN without AS b USING (p, rest)
+        WHERE a.word <> b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m
+  FROM near GROUP BY word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form,
+         CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+led AS (
+  SELECT word, word AS root, 0 AS step FROM formed
+  UNION ALL
+  SELECT l.word, f.form, step + 1 FROM led AS l JOIN formed AS f ON l.root = f.word WHERE f.form IS NOT NULL)
+SELECT word, form, last_root AS root, n, n_near, form_n
+FROM formed JOIN (SELECT word, arg_max(root, step) AS last_root FROM led GROUP BY word) USING (word)
+""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
