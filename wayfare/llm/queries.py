@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import alignment, bpe, decontaminate, langid, quality, rans, simhash, topk, toxicity, variants, wordpiece
+from wayfare.llm import alignment, bpe, decontaminate, langid, orderhash, quality, rans, simhash, topk, toxicity, variants, wordpiece
 from wayfare.llm.registry import ORACLE, QUERIES, query, table
 from wayfare.llm.sharding import stratified_shards
 from wayfare.session import scratch_path
@@ -162,6 +162,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+@query("op12_order_minhash", python=False)
+def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderhash.edit_likeness(table(spark, sf_dir, "documents"))
+
+
 @query("op13_token_alignment")
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
