@@ -23,6 +23,7 @@ from wayfare.session import settle
 K, TUPLE, SKETCHES = 8, 2, 64
 PLACE_BITS = 30  # byte places in UTF-32, so texts of up to 2^28 code points
 PLACES = (1 << PLACE_BITS) - 1
+LONG = 1500  # elements from which on halving is faster than a scan
 RANGES = 4096  # of the order of ids, at most
 
 _long = lambda n: F.lit(n).cast("bigint")
@@ -56,21 +57,47 @@ def _unlike(one: Column, other: Column, shift: int) -> Column:
     return F.shiftright(one.bitwiseXOR(other), shift) != 0
 
 
-def _numbered(sorted_: Column) -> Column:
-    """The sorted k-mers, those that repeat an earlier one with their occurrence number in the hash. That is
-    the number of equal ones right before it, found bit by bit."""
+def _numbered(firsts: str, repeats: str) -> Column:
+    """The first ones of equal k-mers, and the others (both sorted) with their occurrence number in the hash,
+    which is their place among the others of their k-mer, from 1."""
+    key = lambda x: F.shiftright(x, PLACE_BITS)
+
+    def each(own: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.size(own) - 1),
+                          lambda i: (i == 0) | (key(F.get(own, i)) != key(F.get(own, i - 1))))
+        counted = F.flatten(_with(F.concat(begins, F.array(F.size(own))), lambda edges: F.transform(
+            F.sequence(F.lit(1), F.size(edges) - 1), lambda j: F.sequence(F.lit(1), edges[j] - edges[j - 1]))))
+        return _with(counted, lambda n: F.transform(own, lambda x, i: _packed(
+            F.xxhash64(key(x), F.get(n, i)), x.bitwiseAND(_long(PLACES)))))
+
+    more = F.when(F.size(repeats) == 0, F.col(repeats)).otherwise(_with(F.col(repeats), each))
+    return F.concat(F.col(firsts), more)
+
+
+def _least(sorted_: Column, size: int, sketches: int) -> Column:
+    """The first ``size`` elements of each sketch. In a long array a sketch's first one is found by halving."""
+    shift = 64 - (sketches.bit_length() - 1)
     powers = F.array(*(F.lit(1 << b) for b in reversed(range(PLACE_BITS - 2))))
 
-    def number(own: Column, behind: Column, steps: Column, x: Column, i: Column) -> Column:
-        equal = lambda by: (i >= by) & ~_unlike(F.get(own, i - by), x, PLACE_BITS)
-        counted = F.aggregate(steps, F.lit(0), lambda n, p: F.when(equal(n + p), n + p).otherwise(n))
-        n = F.when(~equal(F.lit(2)), F.lit(1)).when(~equal(F.lit(3)), F.lit(2)).otherwise(counted)
-        return F.when(_unlike(F.get(behind, i), x, PLACE_BITS), x).otherwise(_packed(
-            F.xxhash64(F.shiftright(x, PLACE_BITS), n), x.bitwiseAND(_long(PLACES))))
+    def scanned(all_: Column) -> Column:
+        return _with(_behind(all_, size), lambda behind: F.filter(
+            all_, lambda x, i: _unlike(F.get(behind, i), x, shift)))
 
-    return _with(sorted_, lambda own: _with(_behind(own, 1), lambda behind: _with(
-        F.filter(powers, lambda p: p < F.size(own)),
-        lambda steps: F.transform(own, lambda x, i: number(own, behind, steps, x, i)))))
+    def halved(all_: Column, steps: Column) -> Column:
+        def of_sketch(number: Column) -> Column:
+            least = F.shiftleft(number, shift)
+            first = F.aggregate(steps, F.lit(0), lambda n, p: F.when(
+                (n + p <= F.size(all_)) & (F.get(all_, n + p - 1) < least), n + p).otherwise(n))
+            return F.filter(F.slice(all_, first + 1, size), lambda x: F.shiftright(x, shift) == number)
+
+        return F.flatten(F.transform(_sketch_numbers(sketches), of_sketch))
+
+    return _with(sorted_, lambda all_: F.when(F.size(all_) < LONG, scanned(all_)).otherwise(_with(
+        F.filter(powers, lambda p: p <= F.size(all_)), lambda steps: halved(all_, steps))))
+
+
+def _sketch_numbers(sketches: int) -> Column:
+    return F.sequence(_long(-sketches // 2), _long(sketches // 2 - 1))
 
 
 def _tuples(chosen: Column, size: int, sketches: int) -> Column:
@@ -79,20 +106,25 @@ def _tuples(chosen: Column, size: int, sketches: int) -> Column:
     of = lambda x: F.shiftright(x, shift)
 
     def hashed(own: Column) -> Column:
-        by_place = F.array_sort(F.transform(own, lambda x: F.shiftleft(x.bitwiseAND(_long(PLACES)), 64 - PLACE_BITS)
+        by_place = F.sort_array(F.transform(own, lambda x: F.shiftleft(x.bitwiseAND(_long(PLACES)), 64 - PLACE_BITS)
                                             .bitwiseOR(F.shiftrightunsigned(x, PLACE_BITS))))
         words = F.transform(by_place, lambda x: x.bitwiseAND(_long((1 << 64 - PLACE_BITS) - 1)))
         return (F.pmod(F.xxhash64(words), _long(65535)) + 1).cast("int")
 
-    def found(chosen: Column) -> Column:
+    def complete(chosen: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(sketches - 1)),
+                           lambda s: hashed(F.slice(chosen, s * size + 1, size)))
+
+    def partial(chosen: Column) -> Column:
         firsts = F.filter(F.sequence(F.lit(0), F.size(chosen) - 1),
-                          lambda i: (i == 0) | (of(chosen[i]) != of(chosen[i - 1])))
-        entries = F.transform(firsts, lambda i: F.struct(of(chosen[i]), hashed(F.filter(
-            F.slice(chosen, i + 1, size), lambda x: of(x) == of(chosen[i])))))
+                          lambda i: (i == 0) | (of(F.get(chosen, i)) != of(F.get(chosen, i - 1))))
+        entries = F.transform(firsts, lambda i: F.struct(of(F.get(chosen, i)), hashed(F.filter(
+            F.slice(chosen, i + 1, size), lambda x: of(x) == of(F.get(chosen, i))))))
         return _with(F.map_from_entries(entries), lambda told: F.transform(
-            F.sequence(_long(-sketches // 2), _long(sketches // 2 - 1)), lambda s: F.coalesce(told[s], F.lit(0))))
+            _sketch_numbers(sketches), lambda s: F.coalesce(told[s], F.lit(0))))
 
-    return F.when(F.size(chosen) == 0, F.array_repeat(F.lit(0), sketches)).otherwise(_with(chosen, found))
+    return (F.when(F.size(chosen) == 0, F.array_repeat(F.lit(0), sketches))
+            .when(F.size(chosen) == size * sketches, _with(chosen, complete)).otherwise(_with(chosen, partial)))
 
 
 def with_sketches(rows: DataFrame, text: str, name: str, k: int = K, size: int = TUPLE,
@@ -104,14 +136,18 @@ def with_sketches(rows: DataFrame, text: str, name: str, k: int = K, size: int =
     if sketches & sketches - 1 or not 2 <= sketches <= 1 << 16:
         raise ValueError("the number of sketches is a power of two")
     helper = _unused(rows, name)
-    own, shift = F.col(helper), 64 - (sketches.bit_length() - 1)
+    firsts, repeats = f"{helper}firsts", f"{helper}repeats"
+    own = F.col(helper)
     # each step sorts longs outside of the lambdas, where that is compiled
     rows = rows.withColumn(helper, _kmers(F.coalesce(F.col(text), F.lit("")), k))
     rows = rows.withColumn(helper, F.sort_array(own))
-    rows = rows.withColumn(helper, _numbered(own))
+    # of equal k-mers the first stays as it is, the others are rare and numbered; elements are all different
+    rows = rows.withColumn(firsts, _with(own, lambda all_: _with(_behind(all_, 1), lambda behind: F.filter(
+        all_, lambda x, i: _unlike(F.get(behind, i), x, PLACE_BITS)))))
+    rows = rows.withColumn(repeats, F.array_except(own, F.col(firsts)))
+    rows = rows.withColumn(helper, _numbered(firsts, repeats)).drop(firsts, repeats)
     rows = rows.withColumn(helper, F.sort_array(own))
-    rows = rows.withColumn(helper, _with(own, lambda all_: _with(_behind(all_, size), lambda behind: F.filter(
-        all_, lambda x, i: _unlike(F.get(behind, i), x, shift)))))
+    rows = rows.withColumn(helper, _least(own, size, sketches))
     return rows.withColumn(name, _tuples(own, size, sketches)).drop(helper)
 
 
