@@ -254,7 +254,60 @@ def test_many_near_copies_need_few_links():
     fps = np.repeat(some_bits(2, 1), 600, axis=0)
     for i in range(1, 600):
         fps[i, rng.integers(0, 4)] ^= np.uint64(1) << rng.integers(0, 64, dtype=np.uint64)
-    i, j, near = simhash.links_in_buckets(np.zeros(600, np.int64), fps, 56, 22)
-    assert len(i) == 599 and near.all()
-    i, j, near = simhash.links_in_buckets(np.zeros(600, np.int64), fps, 56, -1)
-    assert len(i) == 600 * 599 // 2 and not near.any()
+    buckets = np.zeros(600, np.int64)
+    i, j, open_ = simhash.links_in_buckets(buckets, fps, 56, 22)
+    assert len(i) == 599 and not len(open_)
+    i, j, open_ = simhash.links_in_buckets(buckets, fps, 56, -1)
+    assert not len(i) and len(open_) == 600
+    nodes, sketches = np.arange(600), np.ones((600, simhash.BINS), np.uint8)
+    for roots, n in ((nodes, 599), (nodes // 2, 299), (buckets, 0)):
+        assert simhash.best_links(buckets, nodes, roots, fps, sketches, 56, 0.7).shape == (2, n)
+    first = simhash.best_links(buckets, nodes, nodes, fps, sketches, 56, 0.7)
+    wrong = {(0, *sorted(p)) for p in first.T.tolist()}
+    again = simhash.best_links(buckets, nodes, nodes, fps, sketches, 56, 0.7, wrong, None, 4)
+    assert 599 < again.shape[1] <= 4 * 599 and not wrong & {(0, *sorted(p)) for p in again.T.tolist()}
+
+
+@pytest.mark.parametrize("size", [50, 6000])
+def test_sets_at_hand_decide(size):
+    rng = np.random.default_rng(size)
+    for shared, want in ((0.9, True), (0.87, False)):  # similarities 0.82 and 0.77
+        one, other = (np.unique(h)[:simhash.KEPT] for h in pair_of(rng, size, round(shared * size)))
+        assert simhash.alike(one, other, 0.8) == want
+    one, other = pair_of(rng, 90, 80)
+    assert simhash.alike(np.unique(one), np.unique(other), 0.8) and not simhash.alike(np.unique(one), np.unique(other), 0.801)
+
+
+@pytest.mark.parametrize("size", [20, 150, 800, 5000])
+def test_sketches_tell_the_similarity(size):
+    rng = np.random.default_rng(size)
+    for shared in (0.98, 8 / 9, 0.75, 0.5, 0.0):
+        pairs = [pair_of(rng, size, round(shared * size)) for _ in range(200)]
+        true = round(shared * size) / (2 * size - round(shared * size))
+        a, b = (np.stack([np.frombuffer(simhash.sketch(np.unique(p[k])), np.uint8) for p in pairs]) for k in (0, 1))
+        found = simhash.sketch_likeness(a, b)
+        assert abs(found.mean() - true) < 0.01 and (true < 0.8 or (true - found).max() < simhash.MARGIN)
+
+
+def test_rows_grow_with_the_group_not_its_square(spark):
+    made = {}
+    for n in (100, 400):
+        texts = family(1, [], 300)
+        rng, base = random.Random(4), texts[0].split()
+        while len(texts) < n:
+            own = list(base)
+            for at in rng.sample(range(300), 5):  # about 0.72 to each other, 0.84 to the first
+                own[at] = f"w{rng.randrange(10**6)}"
+            texts.append(" ".join(own))
+        rows = simhash.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 5, 4, 42, False)
+        masks = simhash.sampled_masks(4, 12, 20)
+        found = simhash.searched(rows.select("node", "fp"), masks, 56, 22).cache()
+        marks = found.where("bucket is not null").select("bucket", F.col("a").alias("node"))
+        given = marks.join(rows.select("node", "fp", "sketch", F.col("node").alias("root"),
+                                       F.lit(None).cast("array<bigint>").alias("kept")), "node")
+        passed = simhash.candidates(given, 4, 56, 0.8)
+        made[n] = found.count(), passed.count()
+        assert made[n][0] <= 20 * n and made[n][1] < marks.count()
+        assert {r.component_id for r in simhash.similar(rows.sparkSession.createDataFrame(
+            list(enumerate(texts)), "doc_id long, text string")).collect()} == {0}
+    assert made[400][0] < 6 * made[100][0] and made[400][1] < 8 * made[100][1]

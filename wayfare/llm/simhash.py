@@ -9,7 +9,7 @@ the radius are abandoned after the first planes.
 
 Copies share one fingerprint and are compared once. A bucket of very many fingerprints is cut into
 chunks, and each pair of chunks is a bucket of its own; only links that join something new
-within a task are passed on.
+within a task are passed on, never all pairs of a bucket.
 """
 
 from __future__ import annotations
@@ -28,12 +28,16 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.texts import pieces
 from wayfare.operators.components import components
-from wayfare.session import release, settle
+from wayfare.session import release, settle, ship
 
 SEED = 42
 CHUNK = 2048  # fingerprints of a bucket in one piece
 SENT_BUCKETS = 100_000  # at most so many large buckets are sent to all tasks
 ROUND = 32  # masks searched at a time, so that the disk holds the rows of so many
+BINS = 512  # bytes of the sketch that refuses pairs within a bucket
+MARGIN = 0.06  # so far below the similarity, more than three standard deviations of the sketch
+AT_ONCE = 4096  # rows of whole buckets compared at a time where pairs are kept
+KEPT = 4096  # shingles of a set, its least, that are sent to the buckets where links were refused
 
 
 # ---- fingerprints
@@ -82,12 +86,31 @@ def majority(hashes: np.ndarray, starts: np.ndarray, ties: bool = False) -> np.n
     return found
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """The hashes (sorted, distinct) dealt to ``BINS`` bins; a byte, never 0, of the least one in each bin."""
+    found = np.zeros(BINS, np.uint8)
+    bins, first = np.unique(hashes >> np.uint64(64 - BINS.bit_length() + 1), return_index=True)
+    found[bins.astype(np.int64)] = (hashes[first] >> np.uint64(16)) % np.uint64(255) + np.uint64(1)
+    return found.tobytes()
+
+
+def sketch_likeness(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The Jaccard similarity that rows of sketches tell, without the share of bytes that are equal by chance."""
+    found = np.empty(len(one))
+    for i in range(0, len(one), 1 << 14):
+        a, b = one[i:i + (1 << 14)], other[i:i + (1 << 14)]
+        used = (a | b).astype(bool).sum(1)
+        equal = ((a == b) & (a != 0)).sum(1) / np.maximum(used, 1)
+        found[i:i + (1 << 14)] = np.where(used == 0, 1.0, (equal * 255 - 1) / 254)
+    return found
+
+
 def fingerprints(docs: DataFrame, width: int = 4, words: int = 1, seed: int = SEED, repeats: bool = True,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fp`` (the fingerprint's 64-bit words as signed longs), ``node`` (the first word),
     ``text_hash``. Without ``repeats`` each different shingle of a text counts once, ties are broken by
-    a hash bit, so that short texts do not crowd at few fingerprints, and ``node`` is a hash of the
-    text's set of shingles.
+    a hash bit, so that short texts do not crowd at few fingerprints, ``node`` is a hash of the
+    text's set of shingles, and ``sketch`` is its sketch.
 
     Null texts and texts without words have fingerprint 0. Whole texts; other columns are ignored.
     """
@@ -101,20 +124,26 @@ def fingerprints(docs: DataFrame, width: int = 4, words: int = 1, seed: int = SE
             if not repeats:
                 hashes = [np.unique(h) for h in hashes]
                 nodes = np.array([xxh64_intdigest(h.tobytes(), seed) for h in hashes], np.uint64)
+                sketches = [sketch(h) for h in hashes]
             starts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
             hashes = np.concatenate(hashes)
             found = np.stack([majority(mixed(hashes, w), starts, not repeats) for w in range(words)], axis=1)
             if repeats:
                 nodes = found[:, 0]
             edges = pa.array(np.arange(0, found.size + 1, words), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.ListArray.from_arrays(edges, pa.array(found.view(np.int64).ravel())),
-                 pa.array(nodes.view(np.int64)), piece.column("text_hash")], ["doc_id", "fp", "node", "text_hash"])
+            columns = {"doc_id": piece.column("doc_id"),
+                       "fp": pa.ListArray.from_arrays(edges, pa.array(found.view(np.int64).ravel())),
+                       "node": pa.array(nodes.view(np.int64)), "text_hash": piece.column("text_hash")}
+            if not repeats:
+                columns["sketch"] = pa.array(sketches, pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"),
-    ).mapInArrow(fingerprint, f"doc_id {kind}, fp array<bigint>, node bigint, text_hash bigint")
+    ).mapInArrow(fingerprint, f"doc_id {kind}, fp array<bigint>, node bigint, text_hash bigint"
+                 + ("" if repeats else ", sketch binary"))
 
 
 # ---- bit-sliced comparison
@@ -204,27 +233,15 @@ def near_neighbours(planes: np.ndarray, by: int, open_: np.ndarray, radius: int)
     return words[lanes // 64] * 64 + lanes % 64
 
 
-def links_in_buckets(buckets: np.ndarray, fps: np.ndarray, radius: int,
-                     tight: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Both ends of links within each bucket, and which are within ``tight`` bits; of those so many that
-    they span their groups, of the wider ones all between different groups. ``buckets`` is sorted, ``fps``
-    has rows of words."""
-    root = np.arange(len(fps))
-    ones, others = [], []
-    wide = []
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+def close_pairs(buckets: np.ndarray, fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one bucket within the radius, some at a time. ``buckets`` is sorted, ``fps`` has
+    rows of words."""
     own = np.arange(len(fps))  # rows that still have a neighbour in their bucket
     planes, by = None, 1
     while True:
         same = buckets[own][by:] == buckets[own][:-by] if len(own) > by else np.empty(0, bool)
         if not same.any():
-            break
+            return
         if planes is None or 2 * same.sum() < len(own) - by:
             sizes = np.unique(buckets[own], return_inverse=True, return_counts=True)
             keep = sizes[2][sizes[1]] > by
@@ -235,7 +252,25 @@ def links_in_buckets(buckets: np.ndarray, fps: np.ndarray, radius: int,
         open_ = np.zeros(planes.shape[1] * 64, np.uint8)
         open_[:len(same)] = same
         lanes = near_neighbours(planes, by, np.packbits(open_, bitorder="little").view("<u8"), radius)
-        left, right = own[lanes], own[lanes + by]
+        yield own[lanes], own[lanes + by]
+        by += 1
+
+
+def links_in_buckets(buckets: np.ndarray, fps: np.ndarray, radius: int,
+                     tight: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both ends of links of at most ``tight`` bits within each bucket, so many that they span their groups,
+    and the rows that are within ``radius`` of a row of another group."""
+    root = np.arange(len(fps))
+    ones, others = [], []
+    wide = [np.empty((2, 0), np.int64)]
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for left, right in close_pairs(buckets, fps, radius):
         new = root[left] != root[right]
         if tight < radius:
             far = np.bitwise_count(fps[left] ^ fps[right]).sum(1) > tight
@@ -252,11 +287,63 @@ def links_in_buckets(buckets: np.ndarray, fps: np.ndarray, radius: int,
                 joined = True
         while joined and (root[root] != root).any():
             root = root[root]
-        by += 1
-    apart = np.concatenate([np.empty((2, 0), np.int64), *wide], axis=1)
-    apart = apart[:, root[apart[0]] != root[apart[1]]]
-    return (np.concatenate([np.array(ones, np.int64), apart[0]]),
-            np.concatenate([np.array(others, np.int64), apart[1]]), np.arange(len(ones) + apart.shape[1]) < len(ones))
+    apart = np.concatenate(wide, axis=1)
+    open_ = np.unique(apart[:, root[apart[0]] != root[apart[1]]])
+    return np.array(ones, np.int64), np.array(others, np.int64), open_
+
+
+def alike(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
+    """Whether two sets have the similarity, known by at most their ``KEPT`` least members; by so many it is told
+    to within 0.02 (three standard deviations), and what is within that passes."""
+    if max(len(one), len(other)) < KEPT:
+        shared = len(np.intersect1d(one, other, assume_unique=True))
+        return shared >= similarity * (len(one) + len(other) - shared) - 1e-9
+    whole = np.union1d(one, other)[:KEPT]
+    shared = np.isin(whole, np.intersect1d(one, other, assume_unique=True), assume_unique=True).sum()
+    return shared >= (similarity - 0.02) * len(whole)
+
+
+def best_links(buckets: np.ndarray, nodes: np.ndarray, roots: np.ndarray, fps: np.ndarray, sketches: np.ndarray,
+               radius: int, similarity: float, refused: set[tuple[int, int, int]] = frozenset(),
+               sets: np.ndarray | None = None, forests: int = 1) -> np.ndarray:
+    """Pairs of rows worth a comparison: of those within the radius, with different roots, a likeness of the
+    sketches of at most ``MARGIN`` below the similarity, not refused and, if ``sets`` are given, alike by these,
+    the likest that span all that hang together so. Of further ones, left out by the first, ``forests``
+    times in all."""
+    least = similarity - MARGIN
+    found = [np.empty((2, 0), np.int64)]
+    likely = [np.empty(0)]
+    for left, right in close_pairs(buckets, fps, radius):
+        apart = roots[left] != roots[right]
+        left, right = left[apart], right[apart]
+        like = sketch_likeness(sketches[left], sketches[right])
+        found.append(np.stack([left, right])[:, like >= least])
+        likely.append(like[like >= least])
+    pairs, like = np.concatenate(found, axis=1), np.concatenate(likely)
+    if refused and len(like):
+        ends = np.sort(nodes[pairs], axis=0)
+        open_ = [key not in refused for key in zip(buckets[pairs[0]].tolist(), *ends.tolist())]
+        pairs, like = pairs[:, open_], like[open_]
+    left = pairs[:, np.lexsort((nodes[pairs].max(0), nodes[pairs].min(0), -like))].T.tolist()
+    group = np.unique(np.stack([buckets, roots]), axis=1, return_inverse=True)[1].ravel().tolist()
+    chosen = []
+    for _ in range(forests):
+        parent, over = list(range(len(buckets))), []
+        for i, j in left:
+            a, b = group[i], group[j]
+            while parent[a] != a:
+                parent[a] = a = parent[parent[a]]
+            while parent[b] != b:
+                parent[b] = b = parent[parent[b]]
+            if a == b:
+                over.append((i, j))
+            elif sets is None or alike(sets[i], sets[j], similarity):
+                parent[max(a, b)] = min(a, b)
+                chosen.append((i, j))
+        if len(over) == len(left):
+            break
+        left = over
+    return np.array(chosen, np.int64).reshape(-1, 2).T
 
 
 # ---- on Spark
@@ -312,23 +399,46 @@ def _freed_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int = CHUNK,
-           tight: int | None = None) -> DataFrame:
-    """``a``, ``b``, ``tight``: links between nodes whose fingerprints agree under a mask and differ in at
-    most ``radius`` bits, enough of them to connect all that are connected so. With ``tight`` that holds for
-    the links of at most so many bits, which are marked; of the wider ones all are there but those
-    whose ends the marked ones connect. More than ``ROUND`` masks are searched in several rounds."""
-    tight = radius if tight is None else tight
+def linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int = CHUNK) -> DataFrame:
+    """``a``, ``b``: links between nodes whose fingerprints agree under a mask and differ in at most ``radius``
+    bits, enough of them to connect all that are connected so."""
+    return searched(groups, masks, radius, radius, chunk).select("a", "b")
+
+
+def searched(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, tight: int,
+             chunk: int = CHUNK) -> DataFrame:
+    """``a``, ``b``, ``bucket``: links (without bucket) as ``linked`` finds them within ``tight`` bits, and in each
+    bucket the nodes ``a`` (without ``b``) that are within ``radius`` of a node which such links of the bucket do not
+    connect them with. More than ``ROUND`` masks are searched in several rounds."""
     rounds = -(-len(masks) // ROUND)
     if rounds == 1:
-        return _linked(groups, masks, radius, chunk, tight)
+        return _searched(groups, masks, radius, tight, chunk)
     with _freed_shuffles(groups.sparkSession):
-        parts = [settle(_linked(groups, masks[i::rounds], radius, chunk, tight).distinct(), "round")
+        parts = [settle(_searched(groups, masks[i::rounds], radius, tight, chunk).distinct(), "round")
                  for i in range(rounds)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk: int, tight: int) -> DataFrame:
+def _whole_buckets(batches: Iterator[pa.RecordBatch], columns: Callable[[pa.RecordBatch], list[np.ndarray]],
+                   at_once: int) -> Iterator[list[np.ndarray]]:
+    """The columns (the first is the bucket; sorted) of about so many rows, cut between buckets."""
+    waiting: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        waiting.append(columns(batch))
+        size += batch.num_rows
+        if size >= at_once:
+            held = [np.concatenate(x) for x in zip(*waiting)]
+            end = int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on
+            if end:
+                yield [h[:end] for h in held]
+            waiting = [[h[end:] for h in held]]
+            size = len(held[0]) - end if end else 0  # a longer one is looked at again when twice as long
+    if waiting:
+        yield [np.concatenate(x) for x in zip(*waiting)]
+
+
+def _searched(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, tight: int, chunk: int) -> DataFrame:
     words = len(masks[0])
     keys = [F.xxhash64(F.lit(i), *(F.col("fp")[w].bitwiseAND(F.lit(_signed(m)).cast("bigint"))
                                    for w, m in enumerate(mask))) for i, mask in enumerate(masks)]
@@ -346,29 +456,59 @@ def _linked(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, chunk:
             .select("bucket", "node", "fp"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, words), np.uint64)]
-
-        def done(buckets: np.ndarray, nodes: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-            i, j, near = links_in_buckets(buckets, fps, radius, tight)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(nodes[i], nodes[j])), pa.array(np.maximum(nodes[i], nodes[j])), pa.array(near)],
-                ["a", "b", "tight"])
-
-        waiting: list[list[np.ndarray]] = []
-        size = 0
-        for batch in batches:
-            waiting.append([batch.column("bucket").to_numpy(), batch.column("node").to_numpy(),
-                            batch.column("fp").flatten().to_numpy().reshape(-1, words).view(np.uint64)])
-            size += batch.num_rows
-            if size >= 1 << 16:
-                held = [np.concatenate(x) for x in zip(held, *waiting)]
-                end = int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on
-                yield done(*(h[:end] for h in held))
-                held, waiting, size = [h[end:] for h in held], [], 0
-        yield done(*(np.concatenate(x) for x in zip(held, *waiting)))
+        def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+            return [batch.column("bucket").to_numpy(), batch.column("node").to_numpy(),
+                    batch.column("fp").flatten().to_numpy().reshape(-1, words).view(np.uint64)]
+
+        for buckets, nodes, fps in _whole_buckets(batches, columns, 1 << 16):
+            i, j, open_ = links_in_buckets(buckets, fps, radius, tight)
+            none = pa.nulls(len(i), pa.int64()), pa.nulls(len(open_), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([np.minimum(nodes[i], nodes[j]), nodes[open_]])),
+                 pa.concat_arrays([pa.array(np.maximum(nodes[i], nodes[j])), none[1]]),
+                 pa.concat_arrays([none[0], pa.array(buckets[open_])])], ["a", "b", "bucket"])
 
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        compare, "a bigint, b bigint, tight boolean")
+        compare, "a bigint, b bigint, bucket bigint")
+
+
+def candidates(rows: DataFrame, words: int, radius: int, similarity: float, refused: DataFrame | None = None,
+               forests: int = 1) -> DataFrame:
+    """``bucket``, ``a``, ``b``: what ``best_links`` passes on of ``rows`` (``bucket``, ``node``, ``root``, ``fp``, ``sketch``, and
+    ``kept``, a set's least members, or null); ``refused`` are such links that have proved wrong."""
+    none = F.lit(None).cast("bigint")
+    given = rows.select("bucket", "node", "root", "fp", "sketch", "kept", none.alias("other"))
+    if refused is not None:
+        given = given.unionByName(refused.select(
+            "bucket", F.col("a").alias("node"), none.alias("root"), F.lit(None).cast("array<bigint>").alias("fp"),
+            F.lit(None).cast("binary").alias("sketch"), F.lit(None).cast("array<bigint>").alias("kept"),
+            F.col("b").alias("other")))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+            real = batch.column("other").is_null().to_numpy(zero_copy_only=False)
+            fps, sketches = np.zeros((len(real), words), np.uint64), np.zeros((len(real), BINS), np.uint8)
+            fps[real] = batch.column("fp").flatten().to_numpy().reshape(-1, words).view(np.uint64)
+            sketches[real] = np.frombuffer(b"".join(x for x in batch.column("sketch").to_pylist() if x is not None),
+                                           np.uint8).reshape(-1, BINS)
+            filled = [batch.column(n).fill_null(0).to_numpy() for n in ("bucket", "node", "root", "other")]
+            kept = np.empty(len(real), object)
+            lens = batch.column("kept").value_lengths().fill_null(0).to_numpy()
+            members = batch.column("kept").flatten().to_numpy().view(np.uint64)
+            kept[:] = np.split(members, np.cumsum(lens)[:-1]) if len(lens) > 1 else [members]
+            return [*filled, real, fps, sketches, kept]
+
+        for buckets, nodes, roots, others, real, fps, sketches, kept in _whole_buckets(batches, columns, AT_ONCE):
+            wrong = set(zip(buckets[~real].tolist(), nodes[~real].tolist(), others[~real].tolist()))
+            buckets, nodes, roots, fps, sketches, kept = (x[real] for x in (buckets, nodes, roots, fps, sketches, kept))
+            i, j = best_links(buckets, nodes, roots, fps, sketches, radius, similarity, wrong,
+                              kept if any(map(len, kept)) else None, forests)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets[i]), pa.array(np.minimum(nodes[i], nodes[j])), pa.array(np.maximum(nodes[i], nodes[j]))],
+                ["bucket", "a", "b"])
+
+    return given.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        choose, "bucket bigint, a bigint, b bigint")
 
 
 def _clusters(rows: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -434,36 +574,81 @@ def compared(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b")
     shared = F.size(F.array_intersect("one", "other"))
     whole = F.size("one") + F.size("other") - shared
-    return both.select("a", "b", "tight", (shared >= similarity * whole - 1e-9).alias("same"))
+    return both.select("a", "b", (shared >= similarity * whole - 1e-9).alias("same"))
 
 
 def verified(groups: DataFrame, masks: list[tuple[int, ...]], radius: int, tight: int,
-             sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
-    """``a``, ``b``: links of ``linked`` whose shingle sets have the similarity, enough of them to connect all
+             sets_of: Callable[[DataFrame], DataFrame], sketches_of: Callable[[DataFrame], DataFrame],
+             similarity: float) -> DataFrame:
+    """``a``, ``b``: links within the radius whose shingle sets have the similarity, enough of them to connect all
     that are connected so.
 
-    Links of at most ``tight`` bits are hardly ever wrong, so most groups need few links and no pairs.
-    Where one is wrong after all, it may stand for right ones, and among all the nodes that hang
-    together with it every pair is compared.
+    Links of at most ``tight`` bits are hardly ever wrong; those that span the groups of a bucket are compared
+    by their sets first. Other nodes only leave a mark in their buckets. Then, in rounds, each bucket
+    whose marked nodes have not all come together passes on the likeliest links that would bring them together,
+    by the nodes' sketches; their sets are compared, and the buckets of refused links go on, with the sets
+    of their nodes at hand, so that hardly any further link is refused. A round has fewer links than marks
+    (four times as many each round from the third on). Where a tight link is wrong, its whole group
+    leaves marks instead.
     """
-    def right(found: DataFrame) -> DataFrame:
-        found = settle(found.distinct(), "candidates")
-        with _freed_shuffles(groups.sparkSession):
-            sets = settle(sets_of(found.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "shingles")
-            checked = settle(compared(found, sets, similarity), "compared")
-        release(found, sets)
+    spark, words = groups.sparkSession, len(masks[0])
+
+    def compare(links: DataFrame) -> DataFrame:
+        with _freed_shuffles(spark):
+            sets = settle(sets_of(links.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "shingles")
+            checked = settle(compared(links, sets, similarity), "compared")
+        release(sets)
         return checked
 
-    checked = right(linked(groups, masks, radius, tight=tight))
-    wrong = checked.where("tight and not same")
-    if not wrong.isEmpty():
-        roots = components(checked.where("tight"))
-        hit = wrong.select(F.col("a").alias("node")).join(roots, "node", "left").select(
+    found = settle(searched(groups, masks, radius, tight).distinct(), "found")
+    checked = compare(found.where("bucket is null").select("a", "b"))
+    links = checked.where("same").select("a", "b")
+    marks = found.where("bucket is not null").select("bucket", F.col("a").alias("node"))
+    if not checked.where("not same").isEmpty():
+        roots = components(checked)
+        hit = checked.where("not same").select(F.col("a").alias("node")).join(roots, "node", "left").select(
             F.coalesce("root", "node").alias("root")).distinct()
         nodes = roots.join(hit, "root").select("node").union(hit)
-        again = right(linked(settle(groups.join(nodes, "node", "left_semi"), "again"), masks, radius, tight=-1))
-        checked = checked.unionByName(again)
-    return checked.where("same").select("a", "b")
+        again = searched(settle(groups.join(nodes, "node", "left_semi"), "again"), masks, radius, tight=-1)
+        marks = marks.union(again.select("bucket", F.col("a").alias("node")))
+    marks = settle(marks.distinct(), "marks")
+    release(found)
+    marked = marks.select("node").distinct()
+    nodes = settle(groups.join(marked, "node").join(sketches_of(marked), "node"), "marked-nodes")
+    refused, forests = None, 1
+    while True:
+        named = marks.join(components(links), "node", "left").select(
+            "bucket", "node", F.coalesce("root", "node").alias("root"))
+        open_ = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
+        with _freed_shuffles(spark):
+            named = settle(named.join(open_.select("bucket"), "bucket"), "open")
+            given, sets = named.join(nodes, "node"), None
+            if refused is None:
+                given = given.withColumn("kept", F.lit(None).cast("array<bigint>"))
+            else:
+                sets = settle(sets_of(named.select("node").distinct()).select(
+                    "node", F.slice("shingles", 1, KEPT).alias("kept")), "shingles")
+                given = given.join(sets, "node")
+            passed = settle(candidates(given, words, radius, similarity, refused, forests), "candidates")
+            release(*([sets] if sets is not None else []))
+        release(named)
+        new = passed.select("a", "b").distinct()
+        if new.isEmpty():
+            break
+        if refused is not None:  # it may have been refused in another bucket
+            new = new.join(refused.select("a", "b").distinct(), ["a", "b"], "left_anti")
+        checked = compare(new)
+        right = checked.where("same").select("a", "b")
+        links = links.unionByName(right)
+        wrong = settle(passed.join(right, ["a", "b"], "left_anti").select("bucket", "a", "b"), "refused")
+        release(passed)
+        if wrong.isEmpty():
+            break
+        forests *= 1 if refused is None else 4
+        refused = wrong if refused is None else settle(refused.unionByName(wrong), "all-refused")
+        marks = settle(marks.join(wrong.select("bucket").distinct(), "bucket", "left_semi"), "marks")
+    release(nodes)
+    return links
 
 
 def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int = 4, miss: float = 0.005,
@@ -472,6 +657,7 @@ def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int
     shingles have this Jaccard similarity or more.
 
     Fingerprints find the candidates, the sets of shingles decide, so no link is below the similarity.
+    Sketches of the sets (``MARGIN`` below the similarity, 3 in 10 000 pairs of the similarity) refuse most others.
     Two sets of similarity s differ in about arccos(2 s / (1 + s)) / pi of the bits. Candidates are
     documents within that share plus three standard deviations, 999 in 1000 pairs of similarity 0.8
     and practically all of 0.85. At this distance
@@ -488,6 +674,7 @@ def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int
     masks = search_masks(n, words, share, radius, miss)
     named = _clusters(rows, lambda groups: verified(
         groups, masks, radius, tight, lambda nodes: shingle_sets(docs, rows, nodes, width, seed, id_col, text_col),
+        lambda nodes: rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.any_value("sketch").alias("sketch")),
         similarity))
     return rows.join(named, "node").select("doc_id", "component_id", "cluster", "text_hash")
 
