@@ -27,6 +27,7 @@ from wayfare.llm.texts import pieces
 from wayfare.session import settle
 
 WIDTH, CONTAINMENT, HASHES = 5, 0.8, 64
+BLOCK_BYTES = 32 << 20  # and so many bytes of their texts
 BLOCK_ITEMS = 20_000
 SMALLEST = 16  # shingles: step of the finest windows
 FEW = 8
@@ -225,17 +226,25 @@ def _sequence_hashes(items: DataFrame) -> DataFrame:
     return items.mapInArrow(hashed, f"id {kind}, text string, words bigint")
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, size: int) -> Iterator[tuple[list, list]]:
-    """The items in blocks of about ``size`` rows, one after the other on the driver."""
+def item_blocks(items: DataFrame, id_col: str, text_col: str, size: int,
+                size_bytes: int = BLOCK_BYTES) -> Iterator[tuple[list, list]]:
+    """The items in blocks of at most ``size`` rows and ``size_bytes`` bytes of text (or one item), one after the
+    other on the driver. Items of the same words are one, named by the smallest id, before any is
+    sent to the driver."""
     items = items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    blocks = max(1, -(-items.count() // size))
-    # items of the same words fall into one block, where the smallest id stands for all
-    if blocks > 1:
-        items = settle(_sequence_hashes(items), "items")
-    for i in range(blocks):
-        rows = (items.where(F.pmod("words", F.lit(blocks)) == i) if blocks > 1 else items).collect()
-        yield [r["id"] for r in rows], [r["text"] for r in rows]
+    least = F.min(F.struct("id", "text")).alias("least")
+    merged = settle(_sequence_hashes(items).groupBy("words").agg(least).select("least.*"), "items")
+    ids, strings, used = [], [], 0
+    for row in merged.toLocalIterator():
+        more = len(row["text"].encode("utf-8", "replace"))
+        if ids and (len(ids) >= size or used + more > size_bytes):
+            yield ids, strings
+            ids, strings, used = [], [], 0
+        ids.append(row["id"])
+        strings.append(row["text"])
+        used += more
+    yield ids, strings
 
 
 def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, id_col: str = "doc_id",

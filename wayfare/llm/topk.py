@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.session import settle
+from wayfare.session import settle, ship
 
 PIVOTS, PIVOT_SAMPLE, BLOCK_QUERIES = 64, 2000, 1024
 EXACT = float(1 << 53)
@@ -77,12 +77,13 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
 
 
 def pivot_table(rows: DataFrame, pivots: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> tuple[DataFrame, dict[int, Pivots]]:
-    """Every row with its distances to the pivots, written to the shared folder, and the pivots.
+    """Every row with a number of its own and its distances to the pivots, written to the shared folder, and
+    the pivots.
 
     Pivots are chosen among at most about ``sample`` rows; every row is indexed. Vectors of
     different lengths have no product and get tables of their own.
     """
-    rows = settle(rows.withColumn("dim", F.size("q")), "vectors")
+    rows = settle(rows.withColumn("dim", F.size("q")).withColumn("row", F.monotonically_increasing_id()), "vectors")
     told = rows.groupBy("dim").agg(
         F.count("*").alias("n"), F.max(F.aggregate("q", F.lit(0.0), lambda a, v: a + v * v)).alias("longest")).collect()
     found = {}
@@ -101,11 +102,12 @@ def pivot_table(rows: DataFrame, pivots: int = PIVOTS, sample: int = PIVOT_SAMPL
                 away = shared.value[dim].of_stored(_matrix(part.column("q")))
                 edges = pa.array(np.arange(0, away.size + 1, away.shape[1]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("vec_id"), part.column("q"), part.column("dim"),
-                     pa.ListArray.from_arrays(edges, pa.array(away.ravel()))], ["vec_id", "q", "dim", "away"])
+                    [part.column("row"), part.column("vec_id"), part.column("q"), part.column("dim"),
+                     pa.ListArray.from_arrays(edges, pa.array(away.ravel()))], ["row", "vec_id", "q", "dim", "away"])
 
     kind = rows.schema["vec_id"].dataType.simpleString()
-    return settle(rows.mapInArrow(distances, f"vec_id {kind}, q array<double>, dim int, away array<double>"),
+    rows = rows.select("row", "vec_id", "q", "dim")
+    return settle(rows.mapInArrow(distances, f"row bigint, vec_id {kind}, q array<double>, dim int, away array<double>"),
                   "pivot-table"), found
 
 
@@ -132,9 +134,10 @@ class Best:
         self.scores[query], self.ids[query] = scores[order], ids[order]
 
 
-def search_rows(best: Best, numbers: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, pivots: Pivots,
-                ids: np.ndarray, vectors: np.ndarray, away: np.ndarray) -> int:
-    """Offer some rows to queries of the same length; returns how many products were evaluated."""
+def search_rows(best: Best, numbers: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, pivots: Pivots,
+                rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, away: np.ndarray) -> int:
+    """Offer some rows to queries of the same length, but none to itself; returns how many products were
+    evaluated."""
     evaluated = 0
     to_pivots = pivots.of_queries(queries)
     bounds = np.zeros((len(queries), len(ids)), np.float32)
@@ -148,7 +151,7 @@ def search_rows(best: Best, numbers: np.ndarray, query_ids: np.ndarray, queries:
     for row, number in enumerate(numbers.tolist()):
         reach = (norms[row] + pivots.longest - np.maximum(bounds[row].astype(np.float64) - slack, 0)**2) / 2
         reach += 1e-6 * max(1.0, pivots.longest)
-        left = np.flatnonzero((reach >= best.least(number)) & (ids != query_ids[row]))
+        left = np.flatnonzero((reach >= best.least(number)) & (rows != query_rows[row]))
         left = left[np.argsort(-reach[left], kind="stable")]
         begin, size = 0, 64
         while begin < len(left) and reach[left[begin]] >= best.least(number):
@@ -168,20 +171,21 @@ def search_rows(best: Best, numbers: np.ndarray, query_ids: np.ndarray, queries:
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: float = 256.0, pivots: int = PIVOTS,
           block_queries: int = BLOCK_QUERIES, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: for each row that fits the condition ``is_query`` (over
-    ``vec_id``) the k best of all rows with another ``vec_id``, ties to the smaller id.
+    ``vec_id``) the k best of all rows but itself, ties to the smaller id.
 
     All candidates if there are fewer. Vectors that are null, empty, or hold null or non-finite
-    components take no part, nor do rows without id; vectors of another length are no candidates. A
-    row that repeats an id is a candidate of its own; a query that repeats is answered once. Other
-    columns are ignored.
+    components take no part, nor do rows without id; vectors of another length are no candidates. Rows
+    count one by one: of rows that repeat an id each is a query and a candidate of its own, also for the
+    others of its id. Other columns are ignored.
     """
+    ship(vectors.sparkSession)
     index, found = pivot_table(quantized(vectors, scale, id_col, vector_col), pivots)
     shared = index.sparkSession.sparkContext.broadcast(found)
-    queries = index.where(is_query).select("vec_id", "q", "dim").distinct()
+    queries = index.where(is_query).select("row", "vec_id", "q", "dim")
     blocks = max(1, -(-queries.count() // block_queries))
-    parts = [_answers(index, queries.where(F.pmod(F.xxhash64("vec_id", "q"), F.lit(blocks)) == i).toArrow(), shared, k)
+    parts = [_answers(index, queries.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == i).toArrow(), shared, k)
              for i in range(blocks)]
-    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (reduce(DataFrame.union, parts).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -189,24 +193,24 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: float = 256.0, pivots
 def _answers(index: DataFrame, block: pa.Table, pivots, k: int) -> DataFrame:
     """Each task's k best for a block of queries."""
     asked = index.sparkSession.sparkContext.broadcast(
-        [(dim, rows.column("vec_id").to_numpy(), _matrix(rows.column("q")))
+        [(dim, rows.column("row").to_numpy(), rows.column("vec_id").to_numpy(), _matrix(rows.column("q")))
          for batch in block.combine_chunks().to_batches() for dim, rows in by_dim(batch)])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = np.concatenate([x[1] for x in asked.value]) if asked.value else np.empty(0, np.int64)
+        numbers, ids = (np.concatenate([np.empty(0, np.int64), *(x[i] for x in asked.value)]) for i in (1, 2))
         best, first, parts = Best(len(ids), k), 0, {}
-        for dim, own, matrix in asked.value:
+        for dim, own, _, matrix in asked.value:
             parts[dim] = np.arange(first, first + len(own)), own, matrix
             first += len(own)
         for batch in batches:
             for dim, rows in by_dim(batch):
                 if dim in parts:
-                    search_rows(best, *parts[dim], pivots.value[dim], rows.column("vec_id").to_numpy(),
-                                _matrix(rows.column("q")), _matrix(rows.column("away")))
+                    search_rows(best, *parts[dim], pivots.value[dim], rows.column("row").to_numpy(),
+                                rows.column("vec_id").to_numpy(), _matrix(rows.column("q")), _matrix(rows.column("away")))
         counts = [len(x) for x in best.ids]
         if sum(counts):
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.repeat(ids, counts), pa.int64()), pa.array(np.repeat(np.arange(len(ids)), counts), pa.int64()),
+                pa.array(np.repeat(ids, counts), pa.int64()), pa.array(np.repeat(numbers, counts), pa.int64()),
                 pa.array(np.concatenate(best.ids), pa.int64()),
                 pa.array([int(s) for s in np.concatenate(best.scores)], pa.int64())],
                 ["query_id", "query", "vec_id", "score"])
