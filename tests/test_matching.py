@@ -168,4 +168,49 @@ def test_slabs_must_outlast_the_horizon(spark):
 def test_eta_uses_the_rider_position():
     d = Dispatcher()
     d.ping("1", Taxi(5, 33.595, -7.60, 30.0, 0), "AVAILABLE")
-    assert d.request(Request("A", "1", 5, 1, "A", 0, 33.60, -7.64), 1).eta_seconds == 449
+    assert d.request(Request("A", "1", 5, 1, "A", 0, 33.60, -7.64, 0), 1).eta_seconds == 449
+
+
+def test_waiting_requests_are_settled_by_time_in_one_unit(spark):
+    at = 1_700_000_000
+    p, r = frames(spark, [("X", 1, at + 2, 5, 33.6, -7.6, 30.0, "AVAILABLE")],
+                  [("X", "B", 1, 5, 1, at * 1000, "A"), ("X", "A", 1, 5, 1, at + 1, "A")])
+    got = {r.trip_id: (r.status, r.matched_taxi, r.created_at) for r in matching.match_replay(p, r).collect()}
+    assert got == {"B": ("MATCHED_DELAYED_EXACT", "1", at * 1000), "A": ("UNFULFILLED", "NONE", at + 1)}
+    d = Dispatcher()
+    for name, created, asked in (("B", at * 1000, at * 1000), ("A", at + 1, at * 1000 + 1000)):
+        assert d.request(Request(name, "1", 5, 1, "A", created, None, None, asked), asked) is None
+    d.ping("1", Taxi(5, 33.6, -7.6, 30.0, at * 1000 + 2000), "AVAILABLE")
+    assert [(o.request.trip_id, o.matched_taxi) for o in d.settle(at * 1000 + 5000)] == [("B", "1"), ("A", "NONE")]
+
+
+def test_a_task_holds_two_minutes_of_a_slab():
+    """The memory of the fold does not grow with the taxis and events of its slab."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    def batches(n, taxis_a_second=50):
+        for begin in range(0, n, 1000):
+            k = range(begin, begin + 1000)
+            names = ["city", "slab", "kind", "entity_id", "zone_id", "event_time", "latitude", "longitude", "speed",
+                     "status", "rider_id", "destination_zone", "call_type", "created_at", "state"]
+            ask = [i % 40 == 39 for i in k]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(["X"] * 1000), pa.array([0] * 1000, pa.int64()), pa.array(["request" if a else "ping" for a in ask]),
+                pa.array([str(i) for i in k]), pa.array([i % 400 for i in k], pa.int32()),
+                pa.array([i * 1000 // taxis_a_second for i in k], pa.int64()), pa.array([33.6] * 1000),
+                pa.array([-7.6] * 1000), pa.array([30.0] * 1000), pa.array(["AVAILABLE"] * 1000), pa.array(["1"] * 1000),
+                pa.array([1] * 1000, pa.int32()), pa.array(["A"] * 1000), pa.array([0] * 1000, pa.int64()),
+                pa.nulls(1000, pa.string())], names)
+
+    def peak(n):
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in matching.fold_slabs(10**9)(batches(n)))
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == n // 40 + 1
+        return found
+
+    small, large = peak(20_000), peak(100_000)
+    assert large < 1.3 * small

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wayfare.functions import messages
 from wayfare.operators import kpi
 from wayfare.sources import files, serving_tables, topics
-from wayfare.streaming import jobs, matcher
+from wayfare.streaming import jobs, matcher, states
 
 
 def put(path, *rows):
@@ -247,3 +247,67 @@ def test_weekly_rows_fit_the_serving_table(spark, tmp_path):
     serving_tables.upsert(kpi.weekly_to_demand(kpi.weekly_trips(df), "X"),
                           str(tmp_path / "d"), "demand_zones", 3)
     assert serving_tables.read_serving(spark, str(tmp_path / "d"), "demand_zones").count() == 1
+
+
+def test_ping_intervals_expire_in_any_order_of_arrival(spark, tmp_path):
+    """Pings that arrive out of order, in two runs: the batch rule's intervals, and the state empties itself."""
+    from wayfare.operators.matching import ping_intervals
+
+    rows = [(taxi, t, 33.6, -7.6, 30.0, ["AVAILABLE", "EN_ROUTE", "OFFLINE"][(taxi + t) % 3], 1 + t % 4)
+            for taxi in range(1, 6) for t in range(taxi, 900, 35 + 17 * taxi)]
+    kind = "taxi_id int, event_time long, latitude double, longitude double, speed double, status string, zone_id int"
+    last = (1, 100_000, 33.6, -7.6, 30.0, "OFFLINE", 1)
+
+    def run(part):
+        spark.createDataFrame(part, kind).selectExpr("to_json(struct(*)) AS value").write.mode("append").text(
+            str(tmp_path / "t" / "pings"))
+        stream = topics.read_topic(spark, "pings", root=str(tmp_path / "t")).selectExpr(
+            f"from_json(value, '{kind}') AS p").selectExpr("p.*", "'X' AS city")
+        return finish(states.ping_interval_stream(stream, "2 hours"), tmp_path)
+
+    run(rows[::2])
+    out, query = run(rows[1::2] + [last])
+    whole = ping_intervals(spark.createDataFrame(rows, kind).selectExpr("*", "'X' AS city"))
+    names = ["taxi_id", "event_time", "zone_id", "status", "until"]
+    assert sorted(map(tuple, out.select(names).collect())) == sorted(map(tuple, whole.select(names).collect()))
+
+
+def test_latest_status_whatever_the_order(spark, tmp_path):
+    asked = [("a", 1, 10, 5, 6), ("b", 2, 11, 5, 6), ("c", 3, 12, 5, 6)]
+    decided = [("a", 1, 10, 5, 6, "MATCHED_EXACT"), ("b", 2, 11, 5, 6, "UNFULFILLED")]
+    kinds = ["trip_id string, rider_id int, requested_at long, origin_zone int, destination_zone int",
+             "trip_id string, rider_id int, created_at long, origin_zone int, destination_zone int, status string"]
+
+    def run(requests, matches):
+        read = []
+        for name, rows, kind in (("r", requests, kinds[0]), ("m", matches, kinds[1])):
+            spark.createDataFrame(rows, kind).selectExpr("to_json(struct(*)) AS value").write.mode("append").text(
+                str(tmp_path / "t" / name))
+            read.append(topics.read_topic(spark, name, root=str(tmp_path / "t")).selectExpr(
+                f"from_json(value, '{kind}') AS p").selectExpr("p.*"))
+        out, _ = finish(states.latest_status_stream(*read, "1 hour"), tmp_path)
+        return sorted((r.trip_id, r.version, r.status) for r in out.collect())
+
+    first = run(asked[:1], decided[1:])
+    assert first == [("a", 1, "PENDING"), ("b", 1, "UNFULFILLED")]
+    assert run(asked[1:], decided[:1]) == sorted([*first, ("a", 2, "MATCHED_EXACT"), ("c", 1, "PENDING")])
+
+
+def test_answers_leave_no_state_behind(spark, tmp_path):
+    def run(requests, matches):
+        for name, rows in (("r", requests), ("m", matches)):
+            put(tmp_path / "t" / name, *rows)
+        asked, decided = (topics.read_topic(spark, name, root=str(tmp_path / "t")).selectExpr(
+            f"from_json(value, '{kind}') AS p").selectExpr("p.*") for name, kind in (
+            ("r", "trip_id string, requested_at long"), ("m", "trip_id string, decided_at long, status string")))
+        out, query = finish(states.answered_trips(asked, decided, "1 minute"), tmp_path)
+        held = [s.numRowsTotal for p in query.recentProgress[-1:] for s in p.stateOperators]
+        return sorted((r.trip_id, r.status, r.waited_seconds) for r in out.collect()), sum(held)
+
+    many = [{"trip_id": str(i), "requested_at": 1_700_000_000 + i} for i in range(50)]
+    told = [{"trip_id": str(i), "decided_at": (1_700_000_000 + i + 5) * 1000, "status": "MATCHED_EXACT"} for i in range(0, 50, 2)]
+    first, held = run(many, told)
+    assert first == sorted((str(i), "MATCHED_EXACT", 5.0) for i in range(0, 50, 2)) and held >= 50
+    end = {"trip_id": "z", "requested_at": 1_700_090_000}, {"trip_id": "y", "decided_at": 1_700_090_000, "status": "UNFULFILLED"}
+    second, held = run([end[0]], [end[1]])
+    assert second == sorted([*first, *((str(i), "UNANSWERED", None) for i in range(1, 50, 2))]) and held <= 2

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import json
-import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,26 +38,6 @@ def test_trip_ends_tolerate_short_vertices(spark):
     assert sorted(map(tuple, out)) == [(1.0, 2.0, 3.0, 4.0), (5.0, None, 5.0, None)]
 
 
-def test_noise_depends_on_the_row_only(spark):
-    df = spark.range(5000).select(
-        F.col("id").cast("string").alias("trip_id"), F.lit(0).alias("vertex"),
-        F.lit(1000).cast("bigint").alias("timestamp"), F.lit(33.5).alias("latitude"),
-        F.lit(-7.5).alias("longitude"))
-
-    def draw(frame):
-        out = trips.delay_pings(trips.perturb_pings(frame))
-        return sorted(tuple(r) for r in out.collect())
-
-    one, other = draw(df.repartition(2)), draw(df.repartition(7))
-    assert one == other
-    lat = [r[3] for r in one]
-    assert statistics.mean(lat) == pytest.approx(33.5, abs=2e-5)
-    assert statistics.pstdev(lat) == pytest.approx(0.0002, rel=0.05)
-    late = [1000 - r[2] for r in one if r[2] != 1000]
-    assert 0.035 < len(late) / len(one) < 0.065 and min(late) >= 60 and max(late) <= 180
-    assert min(r[5] for r in one) >= 10.0 and max(r[5] for r in one) <= 60.0
-
-
 def test_curated_trips_are_unique_and_in_zones(spark):
     text = json.dumps([[-7.64, 33.6], [-7.63, 33.61], [-7.6, 33.6]])
     df = spark.createDataFrame(

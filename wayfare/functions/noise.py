@@ -5,8 +5,6 @@ Draws do not depend on partitioning, so a retried task yields the same rows agai
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, functions as F
 
 _SPAN = float(1 << 32)
@@ -17,9 +15,3 @@ def uniform(key: Column, seed: int, stream: str) -> Column:
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), key.cast("string")))
     whole = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return (whole + 0.5) / _SPAN
-
-
-def normal(key: Column, seed: int, stream: str) -> Column:
-    """A standard normal draw (Box-Muller)."""
-    radius = F.sqrt(F.log(uniform(key, seed, stream + "r")) * -2.0)
-    return radius * F.cos(uniform(key, seed, stream + "a") * (2 * math.pi))

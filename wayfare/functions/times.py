@@ -19,6 +19,11 @@ def to_millis(epoch: Column, unit: str = "auto") -> Column:
     raise ValueError(f"unknown epoch unit {unit!r}")
 
 
+def millis_of(epoch: int) -> int:
+    """The same for a single number, the unit detected."""
+    return epoch if epoch >= MILLIS_FROM else epoch * 1000
+
+
 def event_timestamp(epoch: Column, unit: str = "auto") -> Column:
     return F.timestamp_millis(to_millis(epoch, unit))
 

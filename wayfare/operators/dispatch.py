@@ -35,6 +35,7 @@ class Request(NamedTuple):
     created_at: int
     latitude: float | None
     longitude: float | None
+    asked_at: int  # milliseconds, whatever unit created_at was sent in
 
 
 class Outcome(NamedTuple):
@@ -85,6 +86,13 @@ class Dispatcher:
         else:
             self.taxis.pop(taxi_id, None)
 
+    def forget(self, now: int) -> None:
+        """Drop taxis that are too old for any request from now on."""
+        fresh = [(key, taxi) for key, taxi in self.taxis.items() if now - taxi.seen < STALE_MS]
+        self.taxis, self._free, self._listed = {}, {}, set()
+        for key, taxi in fresh:
+            self.place(key, taxi)
+
     def _find(self, zone: int, now: int) -> str | None:
         """Smallest eligible taxi of the zone; entries that no longer hold are dropped."""
         heap = self._free.get(zone)
@@ -116,7 +124,7 @@ class Dispatcher:
 
     def settle(self, now: int) -> Iterator[Outcome]:
         """Decide every waiting request, in order of request time and id."""
-        waiting = sorted(self.parked.values(), key=lambda r: (r.created_at, r.trip_id))
+        waiting = sorted(self.parked.values(), key=lambda r: (r.asked_at, r.trip_id))
         self.parked.clear()
         for request in waiting:
             zone = request.origin_zone

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+from typing import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wayfare.functions.times import to_millis
-from wayfare.operators.dispatch import ELIGIBLE, Dispatcher, Request, Taxi, STALE_MS
+from wayfare.operators.dispatch import ELIGIBLE, Dispatcher, Outcome, Request, Taxi, STALE_MS
 from wayfare.session import scratch_path, settle, ship
 
 HORIZON = 120                    # seconds a ping stays usable
@@ -134,68 +135,91 @@ def load_state(text: str) -> Dispatcher:
     return dispatcher
 
 
-def _float(value) -> float | None:
-    return None if pd.isna(value) else float(value)
-
-
 _ROW = (
     "city string, slab bigint, trip_id string, rider_id string, origin_zone int, "
     "destination_zone int, call_type string, created_at bigint, matched_taxi string, "
     "eta_seconds int, status string, decided_at bigint, start_state string, end_state string"
 )
-_ORDER = {"state": 0, "ping": 1, "request": 2}
-
-
-def _fold_slab(slab_ms: int):
-    """Play one slab of a city's events in order: outcomes, then one row with both states."""
-
-    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        city, slab = key
-        start, end = slab * slab_ms, (slab + 1) * slab_ms
-        rows = rows.assign(_rank=rows["kind"].map(_ORDER)).sort_values(
-            ["event_time", "_rank", "entity_id", "zone_id", "status", "speed", "latitude",
-             "longitude"])
-        dispatcher, opening, outcomes = Dispatcher(), None, []
-
-        def advance(now: int) -> None:
-            for outcome in dispatcher.expire(now):
-                if outcome.decided_at > start:
-                    outcomes.append(outcome)
-
-        for row in rows.itertuples(index=False):
-            if row.kind == "state":
-                opening = row.state
-                dispatcher = load_state(opening)
-                continue
-            now = int(row.event_time)
-            if opening is None and now >= start:
-                advance(start)
-                opening = dump_state(dispatcher, start)
-            advance(now)
-            if row.kind == "ping":
-                dispatcher.ping(row.entity_id, Taxi(
-                    int(row.zone_id), float(row.latitude), float(row.longitude),
-                    float(row.speed), now), row.status)
-            else:
-                outcome = dispatcher.request(Request(
-                    row.entity_id, row.rider_id, int(row.zone_id), int(row.destination_zone),
-                    row.call_type, int(row.created_at), _float(row.latitude),
-                    _float(row.longitude)), now)
-                if outcome is not None and now >= start:
-                    outcomes.append(outcome)
-        if opening is None:
-            advance(start)
-            opening = dump_state(dispatcher, start)
-        advance(end)
-        table = [
-            (city, slab, o.request.trip_id, o.request.rider_id, o.request.origin_zone,
-             o.request.destination_zone, o.request.call_type, o.request.created_at,
-             o.matched_taxi, o.eta_seconds, o.status, o.decided_at, None, None)
-            for o in outcomes]
-        table.append((city, slab, *[None] * 10, opening, dump_state(dispatcher, end)))
-        return pd.DataFrame(table, columns=[part.split()[0] for part in _ROW.split(", ")]).astype(
-            {name: "Int64" for name in ("origin_zone", "destination_zone", "created_at",
-                                        "eta_seconds", "decided_at")})
+_INPUT = ["city", "slab", "kind", "entity_id", "zone_id", "event_time", "latitude", "longitude", "speed", "status",
+          "rider_id", "destination_zone", "call_type", "created_at", "state"]
+_RANK = "CASE kind WHEN 'state' THEN 0 WHEN 'ping' THEN 1 ELSE 2 END"
+
+
+class _Slab:
+    """One slab of a city while its events go by in order. It holds the state of two minutes."""
+
+    def __init__(self, city: str, number: int, slab_ms: int):
+        self.key, self.start, self.end = (city, number), number * slab_ms, (number + 1) * slab_ms
+        self.dispatcher, self.opening, self.cleared = Dispatcher(), None, 0
+
+    def _outcome(self, o: Outcome) -> tuple:
+        r = o.request
+        return (*self.key, r.trip_id, r.rider_id, r.origin_zone, r.destination_zone, r.call_type, r.created_at,
+                o.matched_taxi, o.eta_seconds, o.status, o.decided_at, None, None)
+
+    def advance(self, now: int) -> Iterator[tuple]:
+        for outcome in self.dispatcher.expire(now):
+            if outcome.decided_at > self.start:
+                yield self._outcome(outcome)
+        if now - self.cleared >= STALE_MS:
+            self.dispatcher.forget(now)
+            self.cleared = now
+
+    def _open(self) -> Iterator[tuple]:
+        yield from self.advance(self.start)
+        self.opening = dump_state(self.dispatcher, self.start)
+
+    def play(self, kind, entity_id, zone_id, event_time, latitude, longitude, speed, status, rider_id,
+             destination_zone, call_type, created_at, state) -> Iterator[tuple]:
+        if kind == "state":
+            self.opening = state
+            self.dispatcher = load_state(state)
+            return
+        if self.opening is None and event_time >= self.start:
+            yield from self._open()
+        yield from self.advance(event_time)
+        if kind == "ping":
+            self.dispatcher.ping(entity_id, Taxi(zone_id, latitude, longitude, speed, event_time), status)
+            return
+        outcome = self.dispatcher.request(Request(
+            entity_id, rider_id, zone_id, destination_zone, call_type, created_at, latitude, longitude,
+            event_time), event_time)
+        if outcome is not None and event_time >= self.start:
+            yield self._outcome(outcome)
+
+    def close(self) -> Iterator[tuple]:
+        """The last outcomes, then a row with the states at both ends."""
+        if self.opening is None:
+            yield from self._open()
+        yield from self.advance(self.end)
+        yield (*self.key, *[None] * 10, self.opening, dump_state(self.dispatcher, self.end))
+
+
+def fold_slabs(slab_ms: int):
+    """Play events that come sorted by city, slab and time, batch by batch: a task holds one batch and the
+    state of one slab, however many events the slab has."""
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in _ROW.split(", "))])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slab = None
+
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*rows) if rows else [()] * len(schema)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(column), kind.type) for column, kind in zip(columns, schema)], schema.names)
+
+        for batch in batches:
+            rows: list[tuple] = []
+            for city, number, *event in zip(*(batch.column(name).to_pylist() for name in _INPUT)):
+                if slab is None or slab.key != (city, number):
+                    if slab is not None:
+                        rows += slab.close()
+                    slab = _Slab(city, number, slab_ms)
+                rows += slab.play(*event)
+            yield table(rows)
+        if slab is not None:
+            yield table(list(slab.close()))
 
     return fold
 
@@ -207,7 +231,8 @@ def match_replay(
     """Replay the matcher in event time; one row per request. ``date_bucket`` is the day of the decision.
 
     A city's events form one sequence, but its memory is short. So the sequence is cut into slabs
-    that run in parallel, each after a warm-up on the end of the slab before. The result is exact
+    that run in parallel, each after a warm-up on the end of the slab before, and each is folded event by
+    event from its sorted rows, so that a task holds two minutes of a city. The result is exact
     once every slab has started from the very state its predecessor ended in; slabs that have not
     run again from that state, until none is left. Round n proves at least the first n slabs.
     """
@@ -223,7 +248,9 @@ def match_replay(
 
     def play(frame: DataFrame, number: int) -> None:
         """Write a round: outcomes and states in separate folders."""
-        played = frame.groupBy("city", "slab").applyInPandas(_fold_slab(slab_ms), _ROW)
+        in_order = frame.select(*_INPUT).repartition("city", "slab").sortWithinPartitions(
+            "city", "slab", "event_time", F.expr(_RANK), "entity_id", "zone_id", "status", "speed", "latitude", "longitude")
+        played = in_order.mapInArrow(fold_slabs(slab_ms), _ROW)
         played.withColumn("part", F.when(F.col("end_state").isNull(), "outcome").otherwise("state")) \
             .write.partitionBy("part").parquet(f"{path}/round={number}")
 

@@ -39,21 +39,29 @@ def intake_requests(
     return accepted, checked.filter(F.size("reasons") > 0)
 
 
-def latest_status(requests: DataFrame, matches: DataFrame) -> DataFrame:
-    """The current state of each trip: PENDING until a match event says otherwise.
+STATUS_FIELDS = ["status", "rider_id", "origin_zone", "destination_zone", "message"]
 
-    An aggregate per trip; events of one trip collapse on the map side.
-    """
-    fields = ["status", "rider_id", "origin_zone", "destination_zone", "message"]
+
+def status_events(requests: DataFrame, matches: DataFrame) -> DataFrame:
+    """Requests and decisions as rows of one shape; ``stage`` and ``at`` say which of a trip's is the newest.
+    For tables and streams."""
     asked = requests.select(
-        "trip_id", F.lit(0).alias("stage"), F.col("requested_at").alias("at"),
+        "trip_id", F.lit(0).alias("stage"), F.col("requested_at").cast("bigint").alias("at"),
         F.lit("PENDING").alias("status"), "rider_id", "origin_zone", "destination_zone",
         F.lit(PENDING_MESSAGE).alias("message"))
     decided = matches.select(
-        "trip_id", F.lit(1).alias("stage"), F.col("created_at").alias("at"),
+        "trip_id", F.lit(1).alias("stage"), F.col("created_at").cast("bigint").alias("at"),
         F.coalesce("status", F.lit("UNKNOWN")).alias("status"),
         F.col("rider_id").cast("int").alias("rider_id"), "origin_zone", "destination_zone",
         F.lit("").alias("message"))
-    last = F.max(F.struct("stage", "at", *fields)).alias("last")
-    return asked.unionByName(decided).filter(F.col("trip_id").isNotNull()).groupBy(
-        "trip_id").agg(last).select("trip_id", *[f"last.{name}" for name in fields])
+    return asked.unionByName(decided).filter(F.col("trip_id").isNotNull())
+
+
+def latest_status(requests: DataFrame, matches: DataFrame) -> DataFrame:
+    """The current state of each trip: PENDING until a match event says otherwise.
+
+    An aggregate per trip; events of one trip collapse on the map side.
+    """
+    last = F.max(F.struct("stage", "at", *STATUS_FIELDS)).alias("last")
+    return status_events(requests, matches).groupBy("trip_id").agg(last).select(
+        "trip_id", *[f"last.{name}" for name in STATUS_FIELDS])

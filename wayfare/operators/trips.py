@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfare.functions import noise
 from wayfare.functions.frames import complete, computed_once
 from wayfare.functions.geo import hex_cell, rescale
 from wayfare.functions.times import seconds_to_timestamp, year_month
@@ -97,34 +96,6 @@ def polyline_to_pings(df: DataFrame, column: str = "CASA_POLYLINE") -> DataFrame
     ).dropna(subset=["taxi_id", "timestamp", "latitude", "longitude"])
 
 
-def _ping_key() -> Column:
-    return F.concat_ws("/", F.col("trip_id").cast("string"), F.col("vertex").cast("string"))
-
-
-def perturb_pings(
-    df: DataFrame, seed: int = 42, sigma: float = 0.0002, speed: tuple[float, float] = (10.0, 60.0),
-) -> DataFrame:
-    """Gaussian position noise (6 places) and a made-up speed (1 place)."""
-    key = _ping_key()
-    low, high = speed
-    return df.withColumns({
-        "latitude": F.round(F.col("latitude") + noise.normal(key, seed, "lat") * sigma, 6),
-        "longitude": F.round(F.col("longitude") + noise.normal(key, seed, "lon") * sigma, 6),
-        "speed": F.round(noise.uniform(key, seed, "speed") * (high - low) + low, 1),
-    })
-
-
-def delay_pings(
-    df: DataFrame, share: float = 0.05, low: int = 60, high: int = 180, seed: int = 42,
-) -> DataFrame:
-    """Move the time of some pings back by a whole number of seconds: late data."""
-    key = _ping_key()
-    back = F.floor(noise.uniform(key, seed, "delay") * (high - low + 1)).cast("bigint") + low
-    late = noise.uniform(key, seed, "late") < share
-    return df.withColumn("timestamp", F.when(late, F.col("timestamp") - back)
-                         .otherwise(F.col("timestamp")))
-
-
 def with_cells(df: DataFrame, resolution: int = 8) -> DataFrame:
     return df.withColumns({
         "pickup_hex": hex_cell(F.col("pickup_lat"), F.col("pickup_lon"), resolution),

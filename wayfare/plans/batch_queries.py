@@ -192,18 +192,6 @@ def _(spark, sf_dir):
     return _tagged(spark, sf_dir).groupBy("source", "city").agg(F.count("*").alias("n"))
 
 
-@query("join_stream_union", with_tables("zone_pings trip_requests", f"""
-    SELECT '{CITY}' AS city, 'ping' AS kind, taxi_id::VARCHAR AS entity_id, zone_id, event_time,
-      CASE WHEN event_id % 13 = 0 THEN 'AVAILABLE' ELSE status END AS status, speed
-    FROM zone_pings
-    UNION ALL SELECT '{CITY}', 'request', trip_id, origin_zone,
-      CASE WHEN trip_id::BIGINT % 2 = 0 THEN requested_at * 1000 ELSE requested_at END, NULL, NULL
-    FROM trip_requests WHERE trip_id::BIGINT % 97 <> 5"""))
-def _(spark, sf_dir):
-    return messages.match_events(_tagged(spark, sf_dir)).select(
-        "city", "kind", "entity_id", "zone_id", "event_time", "status", "speed")
-
-
 @query("field_fallback", with_tables("raw_pings", """
     SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 30.0::DOUBLE ELSE speed END AS speed,
       CASE WHEN event_id % 3 = 0 THEN 'AVAILABLE' ELSE status END AS status, 0 AS zone_id
@@ -785,9 +773,11 @@ def _(spark, sf_dir):
 @query("join_left_key", with_tables("trips_curated", """
     SELECT trip_id, zone_id, hex_cell FROM trips_curated"""))
 def _(spark, sf_dir):
-    """Cells worked out from the curated positions, joined back to their trips."""
+    """Cells worked out from the positions of all pings, joined to the trips by id."""
     curated = fx.trips_curated(spark, sf_dir)
-    cells = settle(curated.select("trip_id", "hex_cell"), "cells")
+    cells = fx.raw_pings(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("trip_id"),
+        geo.hex_cell(F.col("latitude"), F.col("longitude")).alias("hex_cell"))
     return curated.select("trip_id", "zone_id").join(cells, "trip_id", "left")
 
 

@@ -11,7 +11,7 @@ from wayfare.plans.fixtures import CITY, with_tables
 from wayfare.plans.registry import once, query
 from wayfare.session import scratch_path
 from wayfare.sources import serving_tables, topics
-from wayfare.streaming import jobs
+from wayfare.streaming import jobs, states
 
 _MESSAGES = {
     "raw.gps": fx.gps_messages, "processed.gps": fx.normalised_messages,
@@ -227,7 +227,7 @@ def _(spark, sf_dir):
     return matching.candidates(_city_requests(spark, sf_dir), _city_pings(spark, sf_dir))
 
 
-@query("st_state_ttl", with_tables("zone_pings", """
+@query("ping_intervals", with_tables("zone_pings", """
     SELECT zone_id, sum(until - event_time)::BIGINT AS usable_seconds, count(*) AS n FROM (
       SELECT zone_id, status, event_time, least(event_time + 120, coalesce(lead(event_time)
         OVER (PARTITION BY taxi_id ORDER BY event_time, latitude, longitude, speed, status,
@@ -240,6 +240,32 @@ def _(spark, sf_dir):
         F.count("*").alias("n"))
 
 
+@query("st_state_ttl", with_tables("zone_pings", f"""
+    SELECT zone_id, sum(until - event_time)::BIGINT AS usable_seconds, count(*) AS n FROM (
+      SELECT zone_id, status, event_time, least(event_time + 120, coalesce(lead(event_time)
+        OVER (PARTITION BY taxi_id ORDER BY event_time, latitude, longitude, speed, status,
+          zone_id), event_time + 120)) AS until FROM ({_NORMALISED}))
+    WHERE status IN ('AVAILABLE', 'EN_ROUTE') AND until > event_time
+      AND event_time + 120 <= (SELECT max(event_time) - 600 FROM ({_NORMALISED})) GROUP BY zone_id"""))
+def _(spark, sf_dir):
+    """How long pings stay usable, from a stream with a state for each taxi that empties itself; in two runs, so
+    that what is held when the first one stops is put out by the second."""
+    root = scratch_path(spark, "topics")
+    raw = topics.topic_path(root, "raw.gps")
+    path, checkpoint = scratch_path(spark, "streamed"), scratch_path(spark, "checkpoint")
+    sent = messages.parse_gps(fx.gps_messages(spark, sf_dir).select("value"))
+    out = None
+    for run in (0, 1):
+        sent.filter((F.col("event_time") >= fx.START + 5400) == bool(run)).select(F.to_json(F.struct(
+            "taxi_id", F.col("event_time").alias("timestamp"), "latitude", "longitude", "speed", "status"))
+            .alias("value")).write.mode("append").text(raw)
+        stream = jobs.gps_normalize(topics.read_topic(spark, "raw.gps", root=root), "10 minutes").withColumn(
+            "city", F.lit(CITY))
+        out = _finish(states.ping_interval_stream(stream, "10 minutes"), spark, path, checkpoint)
+    return out.groupBy("zone_id").agg(
+        F.sum(F.col("until") - F.col("event_time")).alias("usable_seconds"), F.count("*").alias("n"))
+
+
 # The matcher's rules as a recursion: each round plays one event, or decides one waiting request
 # while a timer is due. "steps" holds the events in order.
 _PLAYED = """played AS (
@@ -440,10 +466,73 @@ def _(spark, sf_dir):
     SELECT trip_id, {_STATUS} AS status, rider_id, origin_zone, destination_zone,
       CASE WHEN trip_id::BIGINT % 3 = 2 THEN 'Trip reserved, finding a driver...' ELSE '' END
         AS message FROM trip_requests"""))
+def _(spark, sf_dir):
+    """A stream in two runs: first the requests of even trips and the decisions of odd ones, then the rest."""
+    root, path, checkpoint = (scratch_path(spark, name) for name in ("topics", "streamed", "checkpoint"))
+    sides = {"requests": _city_requests(spark, sf_dir), "decisions": _decisions(spark, sf_dir)}
+    out = None
+    for run in (0, 1):
+        for other, (name, rows) in enumerate(sides.items()):
+            rows.filter(F.col("trip_id").cast("bigint") % 2 == (run + other) % 2).select(
+                F.to_json(F.struct("*")).alias("value")).write.mode("append").text(topics.topic_path(root, name))
+        read = [topics.read_topic(spark, name, root=root).select(
+            F.from_json("value", rows.schema).alias("r")).select("r.*") for name, rows in sides.items()]
+        out = _finish(states.latest_status_stream(*read, "1 day"), spark, path, checkpoint)
+    fields = serving.STATUS_FIELDS
+    return out.groupBy("trip_id").agg(F.max_by(F.struct(*fields), "version").alias("last")).select(
+        "trip_id", *[f"last.{name}" for name in fields])
+
+
+@query("latest_status", with_tables("trip_requests", f"""
+    SELECT trip_id, {_STATUS} AS status, rider_id, origin_zone, destination_zone,
+      CASE WHEN trip_id::BIGINT % 3 = 2 THEN 'Trip reserved, finding a driver...' ELSE '' END
+        AS message FROM trip_requests"""))
 def _(spark, sf_dir):
     return serving.latest_status(_city_requests(spark, sf_dir), _decisions(spark, sf_dir))
 
 
+# Decisions come some seconds after their requests; every seventh comes too late, two thirds come at all.
+_WAIT = "CASE WHEN trip_id::BIGINT % 7 = 0 THEN 900 ELSE trip_id::BIGINT % 500 END"
+
+
+@query("join_stream_answers", with_tables("trip_requests", f"""
+    SELECT trip_id, requested_at, CASE WHEN answered THEN {_STATUS} ELSE 'UNANSWERED' END AS status,
+      CASE WHEN answered THEN ({_WAIT})::DOUBLE END AS waited_seconds FROM (
+      SELECT *, trip_id::BIGINT % 3 <> 2 AND {_WAIT} <= 600 AS answered,
+        max(requested_at) OVER () AS last_asked,
+        max(requested_at + {_WAIT}) FILTER (trip_id::BIGINT % 3 <> 2) OVER () AS last_decided FROM trip_requests)
+    WHERE answered OR requested_at + 600 < least(last_asked, last_decided) - 60"""))
+def _(spark, sf_dir):
+    """Two streams joined by trip and time, as two topics come in: unanswered requests are out once the joint
+    watermark, a minute behind the slower topic, has passed their ten minutes."""
+    root = scratch_path(spark, "topics")
+    k = F.col("trip_id").cast("bigint")
+    wait = F.when(k % 7 == 0, 900).otherwise(k % 500)
+    decided = _decisions(spark, sf_dir).withColumn("decided_at", (F.col("created_at") + wait) * 1000)
+    sides = {"requests": _city_requests(spark, sf_dir).select("trip_id", "requested_at"),
+             "decisions": decided.select("trip_id", "decided_at", "status")}
+    for name, rows in sides.items():
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.text(topics.topic_path(root, name))
+    read = [topics.read_topic(spark, name, root=root).select(
+        F.from_json("value", rows.schema).alias("r")).select("r.*") for name, rows in sides.items()]
+    return _finish(states.answered_trips(*read, "1 minute"), spark)
+
+
+@query("join_stream_union", with_tables("zone_pings trip_requests", f"""
+    SELECT '{CITY}' AS city, 'ping' AS kind, taxi_id::VARCHAR AS entity_id, zone_id, event_time,
+      CASE WHEN event_id % 13 = 0 THEN 'AVAILABLE' ELSE status END AS status, speed
+    FROM zone_pings
+    UNION ALL SELECT '{CITY}', 'request', trip_id, origin_zone,
+      CASE WHEN trip_id::BIGINT % 2 = 0 THEN requested_at * 1000 ELSE requested_at END, NULL, NULL
+    FROM trip_requests WHERE trip_id::BIGINT % 97 <> 5"""))
+def _(spark, sf_dir):
+    """Two topics as one stream of the matcher's events."""
+    tagged = messages.tag(_topic(spark, sf_dir, "processed.gps"), "gps", CITY).unionByName(
+        messages.tag(_topic(spark, sf_dir, "raw.trips"), "trip", CITY))
+    return _finish(messages.match_events(tagged).select(
+        "city", "kind", "entity_id", "zone_id", "event_time", "status", "speed"), spark)
+
+
 @query("request_intake", with_tables("trip_requests", f"""
     SELECT trip_id, CASE WHEN trip_id::BIGINT % 10 = 3 THEN NULL ELSE rider_id END AS rider_id,
       CASE WHEN trip_id::BIGINT % 10 = 4 THEN 'X' WHEN trip_id::BIGINT % 10 = 5 THEN 'A'

@@ -1,4 +1,5 @@
-"""Record layouts of the platform, as DDL."""
+"""Record layouts of the platform, as DDL. All names, types and key orders here are fixed values: they are
+the interface that other systems read and write."""
 
 # Trip history as published, one row per trip; POLYLINE is JSON text [[lon, lat], ...].
 TRIP_HISTORY = (

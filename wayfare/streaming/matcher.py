@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wayfare.functions import messages
+from wayfare.functions.times import millis_of
 from wayfare.operators.dispatch import Dispatcher, Outcome, Request, Taxi, STALE_MS, WAIT_MS
 
 RESULT = (
@@ -18,7 +19,7 @@ RESULT = (
 _TAXI = "zone_id int, latitude double, longitude double, speed double, seen bigint"
 _REQUEST = (
     "trip_id string, rider_id string, origin_zone int, destination_zone int, call_type string, "
-    "created_at bigint, latitude double, longitude double"
+    "created_at bigint, latitude double, longitude double, asked_at bigint"
 )
 
 
@@ -78,7 +79,7 @@ class TripMatcher(StatefulProcessor):
         taxis, parked = dict(dispatcher.taxis), dict(dispatcher.parked)
         waiting = False
         ordered = sorted(rows, key=lambda r: (
-            r.event_time or 0, r.kind != "ping", r.entity_id, r.zone_id, r.status or "",
+            millis_of(r.event_time or 0), r.kind != "ping", r.entity_id, r.zone_id, r.status or "",
             r.speed or 0.0, r.latitude or 0.0, r.longitude or 0.0))
         for row in ordered:
             if row.kind == "ping":
@@ -88,7 +89,7 @@ class TripMatcher(StatefulProcessor):
             outcome = dispatcher.request(Request(
                 row.entity_id, row.rider_id, row.zone_id, row.destination_zone, row.call_type,
                 row.event_time if row.event_time is not None else now, row.latitude,
-                row.longitude), now)
+                row.longitude, now if row.event_time is None else millis_of(row.event_time)), now)
             if outcome is None:
                 waiting = True
             else:
