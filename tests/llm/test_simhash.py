@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from wayfare.llm import simhash
-from wayfare.operators.components import components
+from wayfare.llm.components import components
 
 
 def plain_fingerprint(text, width=4):
@@ -117,7 +117,8 @@ def test_large_bucket_is_cut(spark):
         assert len({r.root for r in roots}) == 1 and len(roots) == len(fps) - 1
 
 
-def test_components(spark):
+@pytest.mark.parametrize("in_one_task", [1 << 18, 300, 0])
+def test_components(spark, in_one_task):
     rng = random.Random(7)
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 900)]
     links += [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(220)] + [(7, 7)]
@@ -132,8 +133,14 @@ def test_components(spark):
         a, b = find(a), find(b)
         parent[max(a, b)] = min(a, b)
     want = {x: find(x) for x in parent if find(x) != x}
-    got = components(spark.createDataFrame(links, "a long, b long"))
-    assert {r.node: r.root for r in got.collect()} == want
+    links += [(b, a) for a, b in links[::3]] + [(None, 7), (8, None)]
+    got = components(spark.createDataFrame(links, "a long, b long"), in_one_task).collect()
+    assert len(got) == len(want)
+    assert {r.node: r.root for r in got} == want
+
+
+def test_components_without_links(spark):
+    assert components(spark.createDataFrame([(5, 5)], "a long, b long"), 0).count() == 0
 
 
 def test_similar_documents(spark):
