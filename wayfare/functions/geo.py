@@ -1,9 +1,7 @@
-"""Distances, arrival estimates, box scaling and hexagonal cells as column expressions."""
+"""Distances, arrival estimates and box scaling as column expressions."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, functions as F
 
 EARTH_KM = 6371
@@ -41,33 +39,3 @@ def rescale(value: Column, source: tuple[float, float], target: tuple[float, flo
     low, high = source
     clamped = F.greatest(F.least(value, F.lit(high)), F.lit(low))
     return (clamped - low) / (high - low) * (target[1] - target[0]) + target[0]
-
-
-def hex_edge_km(resolution: int) -> float:
-    """Edge length by resolution: 0.531414010 km at 8, each step changes the area by 7."""
-    return 0.531414010 * math.sqrt(7.0) ** (8 - resolution)
-
-
-def hex_cell(lat: Column, lon: Column, resolution: int = 8, ref_lat: float = 33.55) -> Column:
-    """Text id of the hexagon that holds the position; null for a null position.
-
-    The hexagons tile a plane that is true to scale at ``ref_lat``. The ids serve the same
-    purpose as H3 cells of the resolution but are not H3 ids.
-    """
-    edge = hex_edge_km(resolution)
-    km_per_degree = math.pi * EARTH_KM / 180
-    x = lon * (km_per_degree * math.cos(math.radians(ref_lat)) / edge)
-    y = lat * (km_per_degree / edge)
-    q = x * (math.sqrt(3.0) / 3) - y / 3
-    r = y * (2.0 / 3)
-    s = -q - r
-    near_q, near_r, near_s = (F.floor(axis + 0.5) for axis in (q, r, s))
-    off_q, off_r, off_s = (F.abs(near - axis)
-                           for near, axis in ((near_q, q), (near_r, r), (near_s, s)))
-    # The coordinate rounded by most is the one recomputed from the other two.
-    cell_q = F.when((off_q > off_r) & (off_q > off_s), -near_r - near_s).otherwise(near_q)
-    cell_r = F.when((off_q > off_r) & (off_q > off_s), near_r).when(
-        off_r > off_s, -near_q - near_s).otherwise(near_r)
-    offset = 1 << 27
-    code = (cell_q + offset) * (1 << 28) + (cell_r + offset)
-    return F.concat(F.lit(format(resolution, "x")), F.lpad(F.lower(F.hex(code)), 14, "0"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfare.functions.frames import complete, computed_once
-from wayfare.functions.geo import hex_cell, rescale
+from wayfare.functions.geo import rescale
+from wayfare.functions.hexagons import with_hex_cell
 from wayfare.functions.times import seconds_to_timestamp, year_month
 from wayfare.operators.pings import assign_zone, drop_outside
 from wayfare.operators.quality import dedupe
@@ -97,10 +98,8 @@ def polyline_to_pings(df: DataFrame, column: str = "CASA_POLYLINE") -> DataFrame
 
 
 def with_cells(df: DataFrame, resolution: int = 8) -> DataFrame:
-    return df.withColumns({
-        "pickup_hex": hex_cell(F.col("pickup_lat"), F.col("pickup_lon"), resolution),
-        "dropoff_hex": hex_cell(F.col("dropoff_lat"), F.col("dropoff_lon"), resolution),
-    })
+    located = with_hex_cell(df, "pickup_hex", "pickup_lat", "pickup_lon", resolution)
+    return with_hex_cell(located, "dropoff_hex", "dropoff_lat", "dropoff_lon", resolution)
 
 
 def curate_ends(df: DataFrame, polyline: str = "CASA_POLYLINE") -> DataFrame:
@@ -127,7 +126,7 @@ def curate_trips(
     )
     placed = complete(rows, ["latitude", "longitude"])
     unique = dedupe(placed, ["trip_id"], ["trip_start", "taxi_id"])
-    return drop_outside(assign_zone(unique, zones=zones)).withColumn(
-        "hex_cell", hex_cell(F.col("latitude"), F.col("longitude"), resolution)).select(
+    inside = drop_outside(assign_zone(unique, zones=zones))
+    return with_hex_cell(inside, "hex_cell", "latitude", "longitude", resolution).select(
         "trip_id", "taxi_id", "trip_start", "latitude", "longitude", "duration_sec",
         "hex_cell", "zone_id", "year_month")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wayfare import schemas
 from wayfare.functions import geo, messages, times
 from wayfare.functions.casts import first_present
+from wayfare.functions.hexagons import with_hex_cell
 from wayfare.operators import demand, features, kpi, pings, quality, trips
 from wayfare.plans import fixtures as fx
 from wayfare.plans.fixtures import CITY, hex_sql, with_tables
@@ -359,9 +360,12 @@ def _(spark, sf_dir):
     SELECT event_id, {hex_sql('latitude', 'longitude')} AS cell8,
       {hex_sql('latitude', 'longitude', 6)} AS cell6 FROM valid"""))
 def _(spark, sf_dir):
-    lat, lon = F.col("latitude"), F.col("longitude")
-    return pings.valid_pings(fx.raw_pings(spark, sf_dir)).select(
-        "event_id", geo.hex_cell(lat, lon).alias("cell8"), geo.hex_cell(lat, lon, 6).alias("cell6"))
+    located = pings.valid_pings(fx.raw_pings(spark, sf_dir)).select(
+        "event_id", "latitude", "longitude")
+    for resolution in (8, 6):
+        located = with_hex_cell(
+            located, f"cell{resolution}", "latitude", "longitude", resolution)
+    return located.select("event_id", "cell8", "cell6")
 
 
 def _to_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -775,9 +779,10 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Cells worked out from the positions of all pings, joined to the trips by id."""
     curated = fx.trips_curated(spark, sf_dir)
-    cells = fx.raw_pings(spark, sf_dir).select(
-        F.col("event_id").cast("string").alias("trip_id"),
-        geo.hex_cell(F.col("latitude"), F.col("longitude")).alias("hex_cell"))
+    located = fx.raw_pings(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("trip_id"), "latitude", "longitude")
+    cells = with_hex_cell(located, "hex_cell", "latitude", "longitude").select(
+        "trip_id", "hex_cell")
     return curated.select("trip_id", "zone_id").join(cells, "trip_id", "left")
 
 

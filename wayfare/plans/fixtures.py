@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayfare.functions.frames import computed_once
-from wayfare.functions.geo import hex_edge_km
+from wayfare.functions import hexagons
 from wayfare.functions.times import seconds_to_timestamp
 from wayfare.operators.pings import normalise
 from wayfare.session import prepare
@@ -115,16 +115,15 @@ def nyc_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trips_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ping inside a zone as the start of a trip, at the event's own time."""
-    from wayfare.functions.geo import hex_cell
     from wayfare.functions.times import year_month
     from wayfare.operators.pings import assign_zone, drop_outside, valid_pings
 
     placed = drop_outside(assign_zone(valid_pings(_pings(spark, sf_dir))))
-    return placed.select(
+    return hexagons.with_hex_cell(placed, "hex_cell", "latitude", "longitude").select(
         F.col("event_id").cast("string").alias("trip_id"), "taxi_id",
         F.col("ts").alias("trip_start"), "latitude", "longitude",
         F.floor(F.col("speed") * 60).alias("duration_sec"),
-        hex_cell(F.col("latitude"), F.col("longitude")).alias("hex_cell"),
+        "hex_cell",
         "zone_id", year_month(F.col("ts")).alias("year_month"))
 
 
@@ -262,21 +261,56 @@ _ZONE_CASE = "CASE " + " ".join(
 _SQUEEZED = f"{START} + (epoch_us(ts)//1000000 - {START})//{SQUEEZE}"
 
 
-def hex_sql(lat: str, lon: str, resolution: int = 8, ref_lat: float = 33.55) -> str:
+def hex_sql(lat: str, lon: str, resolution: int = 8) -> str:
+    """The cell's id as a scalar subquery: one nested SELECT for each coarser grid."""
     import math
 
-    edge, km = hex_edge_km(resolution), math.pi * 6371 / 180
-    x = f"({lon}) * {km * math.cos(math.radians(ref_lat)) / edge!r}::DOUBLE"
-    y = f"({lat}) * {km / edge!r}::DOUBLE"
-    return f"""(SELECT '{resolution:x}' || lpad(lower(to_hex(
-        (cq + 134217728)::BIGINT * 268435456 + (cr + 134217728)::BIGINT)), 14, '0') FROM (
-      SELECT CASE WHEN oq > o_r AND oq > os THEN -nr - ns ELSE nq END AS cq,
-        CASE WHEN oq > o_r AND oq > os THEN nr WHEN o_r > os THEN -nq - ns ELSE nr END AS cr FROM (
-      SELECT nq, nr, ns, abs(nq - q) AS oq, abs(nr - r) AS o_r, abs(ns - s) AS os FROM (
-      SELECT q, r, s, floor(q + 0.5::DOUBLE) AS nq, floor(r + 0.5::DOUBLE) AS nr,
-        floor(s + 0.5::DOUBLE) AS ns FROM (
-      SELECT q, r, -q - r AS s FROM (SELECT x * {math.sqrt(3.0) / 3!r}::DOUBLE - y / 3 AS q,
-        y * {2.0 / 3!r}::DOUBLE AS r FROM (SELECT {x} AS x, {y} AS y)))))))"""
+    frames = hexagons.faces()
+    dots = ", ".join("x * {!r} + y * {!r} + z * {!r}".format(*centre) for centre, _, _ in frames)
+
+    def along(axis: int) -> str:
+        return " + ".join(
+            f"{name} * ([{', '.join(repr(frame[axis][n]) for frame in frames)}]::DOUBLE[])[face]"
+            for n, name in enumerate("xyz"))
+
+    tilt = hexagons.TILT if resolution % 2 else 0.0
+    scale = math.sqrt(7.0) ** resolution / hexagons.UNIT
+    sine, cosine, third = (repr(n) + "::DOUBLE" for n in (
+        math.sin(tilt), math.cos(tilt), 1 / math.sqrt(3.0)))
+    q = f"""SELECT cos(radians({lat})) * cos(radians({lon})) AS x,
+        cos(radians({lat})) * sin(radians({lon})) AS y, sin(radians({lat})) AS z"""
+    q = f"SELECT x, y, z, [{dots}]::DOUBLE[] AS dots FROM ({q})"
+    q = f"SELECT x, y, z, list_max(dots) AS near, list_position(dots, list_max(dots)) AS face FROM ({q})"
+    q = f"""SELECT face, ({along(1)}) / near * {scale!r}::DOUBLE AS u,
+        ({along(2)}) / near * {scale!r}::DOUBLE AS v FROM ({q})"""
+    q = f"SELECT face, u * {cosine} + v * {sine} AS u, v * {cosine} - u * {sine} AS v FROM ({q})"
+    q = f"SELECT face, u + v * {third} AS p, 2 * v * {third} AS q FROM ({q})"
+    q = f"""SELECT face, p, q, floor(p + 0.5::DOUBLE)::BIGINT AS np,
+        floor(q + 0.5::DOUBLE)::BIGINT AS nq, floor(q - p + 0.5::DOUBLE)::BIGINT AS nr FROM ({q})"""
+    q = f"""SELECT face, np, nq, nr, abs(np - p) AS o_p, abs(nq - q) AS o_q,
+        abs(nr - (q - p)) AS o_r FROM ({q})"""
+    q = f"""SELECT face, CASE WHEN o_p > o_q AND o_p > o_r THEN nq - nr ELSE np END AS a,
+        CASE WHEN o_p > o_q AND o_p > o_r THEN nq WHEN o_q > o_r THEN np + nr ELSE nq END AS b,
+        '' AS d FROM ({q})"""
+    for level in range(resolution, 0, -1):
+        up, down = ((("3 * a - b", "a + 2 * b"), ("2 * ua + ub", "3 * ub - ua")) if level % 2 else
+                    (("2 * a + b", "3 * b - a"), ("3 * ua - ub", "ua + 2 * ub")))
+        q = f"""SELECT *, round(({up[0]}) / 7::DOUBLE)::BIGINT AS ua,
+            round(({up[1]}) / 7::DOUBLE)::BIGINT AS ub FROM ({q})"""
+        q = f"SELECT face, d, ua, ub, a - ({down[0]}) AS da, b - ({down[1]}) AS db FROM ({q})"
+        q = f"""SELECT face, ua AS a, ub AS b, CASE WHEN da = 0 AND db = 0 THEN '0'
+            WHEN da = -1 AND db = -1 THEN '1' WHEN da = 0 AND db = 1 THEN '2'
+            WHEN da = -1 AND db = 0 THEN '3' WHEN da = 1 AND db = 0 THEN '4'
+            WHEN da = 0 AND db = -1 THEN '5' WHEN da = 1 AND db = 1 THEN '6' END || d AS d
+            FROM ({q})"""
+    q = f"""SELECT d, {hexagons.lookup_table()!r}[
+        ((face - 1) * 5 + a + 2) * 5 + b + 3] AS e FROM ({q})"""
+    q = f"""SELECT e, d, substr(e, 4 + CASE WHEN ltrim(d, '0') = '' THEN 0
+        ELSE ltrim(d, '0')[1]::INTEGER END, 1)::INTEGER AS turn FROM ({q})"""
+    q = f"""SELECT e[1:3] || translate(d, '{hexagons.TURN}',
+        substr('{hexagons.TURN * 2}', turn + 1, 6)) || '{"7" * (15 - resolution)}' AS o FROM ({q})"""
+    code = " + ".join(f"o[{n + 1}]::BIGINT * {8 ** (17 - n)}" for n in range(18))
+    return f"(SELECT '8{resolution:x}' || lpad(lower(to_hex({code})), 13, '0') FROM ({q}))"
 
 
 SQL = {
