@@ -193,8 +193,9 @@ def with_hex_cell(df: DataFrame, name: str, lat: str, lon: str, resolution: int
         return frame.withColumns({f"{mark}_{short}": value for short, value in columns.items()})
 
     def along(axis: int) -> Column:
-        x, y, z = (F.element_at(F.array(*(F.lit(frame[axis][n]) for frame in faces())),
-                                c("face") + 1) for n in range(3))
+        x, y, z = (F.element_at(
+            F.expr(f"array({', '.join(f'{frame[axis][n]!r}D' for frame in faces())})"),
+            c("face") + 1) for n in range(3))
         return F.coalesce((c("x") * x + c("y") * y + c("z") * z) / c("near"), F.lit(0.0))
 
     # Numbers stay doubles that are never null, which keeps the generated code short.
