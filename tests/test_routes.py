@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from wayfare import session
 from wayfare.operators import routes
 
 
@@ -41,6 +42,23 @@ def test_nearest_node_equals_brute_force(spark, seed, shape):
         assert got[pid] == best[1], (pid, best)
 
 
+def test_points_of_a_cell_search_together(spark, monkeypatch):
+    """What the search for the nearest node writes grows with the area, not with the points."""
+    written = []
+
+    def settle(df, name="step"):
+        written.append((kept := session.settle(df, name)).count())
+        return kept
+
+    monkeypatch.setattr(routes, "settle", settle)
+    nodes = spark.range(400).selectExpr("id AS node_id", "id % 20 / 100 AS x", "floor(id / 20) / 100 AS y")
+    points = spark.range(20_000).selectExpr("id AS point_id", "id % 141 / 500 - 0.04 AS lon", "id % 97 / 500 AS lat", "id AS more")
+    found = routes.nearest_node(points, nodes)
+    assert found.columns == ["point_id", "lon", "lat", "more", "node_id"]
+    assert found.filter("node_id IS NULL").isEmpty() and found.count() == 20_000
+    assert max(written) < 10_000, written
+
+
 def dijkstra(edges, origin):
     out, heap, near = {}, [(0.0, 1, [origin])], {}
     for a, b, w in edges:
