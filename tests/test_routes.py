@@ -7,7 +7,7 @@ import random
 import pytest
 
 from wayfare import session
-from wayfare.operators import routes
+from wayfare.operators import distances, routes
 
 
 @pytest.mark.parametrize("seed, shape", [(1, "even"), (2, "clustered"), (3, "line"), (4, "same")])
@@ -90,6 +90,45 @@ def test_routes_are_shortest(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("shape", ["grid", "ids only", "random", "many origins"])
+def test_lengths_by_cells_are_shortest(spark, monkeypatch, shape):
+    """Cells of a few nodes, so that there are several steps of them; a network far longer than wide, one way
+    roads, loops, parallel roads, parts without connection, ends off the network."""
+    monkeypatch.setattr(distances, "CELL", 12)
+    monkeypatch.setattr(distances, "ORIGINS", 3 if shape == "many origins" else 1024)
+    rng, wide, high = random.Random(5), 4, 60
+    if shape == "random":
+        edges = [(rng.randrange(80), rng.randrange(80), float(rng.randint(0, 20))) for _ in range(200)]
+    else:
+        near = [(n, n + 1) for n in range(wide * high) if n % wide < wide - 1] + [
+            (n, n + wide) for n in range(wide * (high - 1)) if not wide * 50 <= n < wide * 51]
+        edges = [(a, b, float(rng.randint(0, 20))) for x, y in near for a, b in ((x, y), (y, x))
+                 if rng.random() < 0.9]
+        edges += [(7, 7, 0.0), (3, 4, 1.0), (3, 4, 0.5)]
+    places = None if shape in ("ids only", "random") else spark.createDataFrame(
+        [(n, n % wide / 100, n // wide / 100) for n in range(wide * high - 2)], "node_id long, x double, y double")
+    many = range(20) if shape == "many origins" else [0, 3, 130, 239, 999]
+    pairs = [(a, b) for a in many for b in range(0, wide * high, 3)] + [(999, 999), (0, 999), (None, 1)]
+    got = distances.route_lengths(
+        spark.createDataFrame(pairs, "origin long, destination long"),
+        spark.createDataFrame(edges, "src long, dst long, length double"), places).collect()
+    assert len(got) == len({r[:2] for r in got})
+    known = {a: dijkstra(edges, a) for a in {a for a, _ in pairs}}
+    assert {(r.origin, r.destination): r.length for r in got} == {
+        (a, b): known[a][b][0] for a, b in pairs if a is not None and b in known[a]}
+
+
+def test_steps_follow_the_logarithm_of_the_extent(spark, monkeypatch):
+    """A road of 3 000 nodes takes few steps, not one for every few roads."""
+    monkeypatch.setattr(distances, "CELL", 64)
+    written = []
+    monkeypatch.setattr(distances, "settle", lambda df, name="step": written.append(name) or session.settle(df, name))
+    edges = spark.range(3000).selectExpr("id AS src", "id + 1 AS dst", "1.0D AS length")
+    pairs = spark.createDataFrame([(0, 3000), (5, 2000)], "origin long, destination long")
+    assert sorted(map(tuple, distances.route_lengths(pairs, edges).collect())) == [(0, 3000, 3000.0), (5, 2000, 1995.0)]
+    assert len(written) < 30
+
+
 def test_roads_of_no_length_do_not_loop(spark):
     edges = spark.createDataFrame(
         [(1, 2, 0.0), (2, 1, 0.0), (1, 3, 1.0), (2, 3, 1.0)], "src long, dst long, length double")
