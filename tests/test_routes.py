@@ -129,6 +129,22 @@ def test_steps_follow_the_logarithm_of_the_extent(spark, monkeypatch):
     assert len(written) < 30
 
 
+def test_paths_leave_far_roads_alone(spark, monkeypatch):
+    """The search for paths writes no more ways than lie within the farthest wanted node."""
+    written = []
+
+    def settle(df, name="step"):
+        written.append((name, (kept := session.settle(df, name)).count()))
+        return kept
+
+    monkeypatch.setattr(routes, "settle", settle)
+    edges = spark.range(2000).selectExpr("id AS a", "id + 1 AS b").selectExpr(
+        "explode(array(struct(a AS src, b AS dst), struct(b AS src, a AS dst))) AS e").selectExpr("e.*", "1.0D AS length")
+    row, = routes.routes(spark.createDataFrame([(1000, 1006)], "origin long, destination long"), edges).collect()
+    assert (row.length, row.path) == (6.0, list(range(1000, 1007)))
+    assert [n for name, n in written if name == "step"] and all(n <= 20 for name, n in written if name == "step"), written
+
+
 def test_roads_of_no_length_do_not_loop(spark):
     edges = spark.createDataFrame(
         [(1, 2, 0.0), (2, 1, 0.0), (1, 3, 1.0), (2, 3, 1.0)], "src long, dst long, length double")
