@@ -192,6 +192,16 @@ def test_recall_is_the_same_for_any_number_of_texts(n):
     assert found.mean() > 0.98
 
 
+def test_rows_of_a_text_do_not_grow_up_to_a_million_texts():
+    share, radius = np.arccos(1.6 / 1.8) / np.pi, 56
+    small, *more = (simhash.search_masks(n, 4, share, radius, 0.005) for n in (35_825, 179_316, 10**6))
+    assert all(masks == small for masks in more)
+    for n in (10**7, 10**8):
+        masks = simhash.search_masks(n, 4, share, radius, 0.005)
+        assert len(masks) <= len(small) * (n / 10**6) ** 0.4
+        assert n <= 2 ** simhash.mask_bits(n) * 256 <= simhash.CHUNK / 4 * 2 ** simhash.mask_bits(n)
+
+
 def test_ties_set_as_many_bits_as_not():
     hashes = some_bits(5, 4000, 1).ravel()
     found = simhash.majority(hashes, np.arange(0, 4001, 2), True)

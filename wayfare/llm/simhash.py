@@ -366,8 +366,9 @@ def sampled_masks(words: int, bits: int, tables: int) -> list[tuple[int, ...]]:
 
 
 def mask_bits(n: int) -> int:
-    """So many bits that a bucket has some dozens of ``n`` fingerprints."""
-    return min(48, max(12, n.bit_length() - 5))
+    """So many bits that a bucket has at most one or two hundred of ``n`` fingerprints. Narrower buckets would need
+    more masks, and each mask is one more row of every fingerprint; up to a million 12 bits will do."""
+    return min(48, max(12, n.bit_length() - 8))
 
 
 def search_masks(n: int, words: int, share: float, radius: int, miss: float) -> list[tuple[int, ...]]:
@@ -662,9 +663,9 @@ def similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, words: int
     documents within that share plus three standard deviations, 999 in 1000 pairs of similarity 0.8
     and practically all of 0.85. At this distance
     blocks would be too narrow to tell anything, so candidates agree under one of many random masks.
-    The masks have more bits the more fingerprints there are, so that a bucket has some dozens of
-    them, and there are the more masks for it: of the pairs of this similarity within the distance
-    they miss ``miss`` whatever the size of the table, of more similar ones fewer.
+    Beyond a million fingerprints the masks have more bits the more there are, so that a bucket has one or two
+    hundred of them, and there are the more masks for it: of the pairs of this similarity within the
+    distance they miss ``miss`` whatever the size of the table, of more similar ones fewer.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     spread = 3 * math.sqrt(64 * words * share * (1 - share))
