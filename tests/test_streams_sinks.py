@@ -4,7 +4,7 @@ import json
 import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from wayfare.functions import messages
 from wayfare.operators import kpi
@@ -311,3 +311,52 @@ def test_answers_leave_no_state_behind(spark, tmp_path):
     end = {"trip_id": "z", "requested_at": 1_700_090_000}, {"trip_id": "y", "decided_at": 1_700_090_000, "status": "UNFULFILLED"}
     second, held = run([end[0]], [end[1]])
     assert second == sorted([*first, *((str(i), "UNANSWERED", None) for i in range(1, 50, 2))]) and held <= 2
+
+
+class Store:
+    """A shard's state and timers, with the number of calls."""
+
+    def __init__(self):
+        self.parts, self.timers, self.calls = [], [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter(list(self.parts))
+
+    def appendValue(self, part):
+        self.calls += 1
+        self.parts.append(part)
+
+    def clear(self):
+        self.calls += 1
+        self.parts = []
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_status_calls_go_with_shards_not_trips():
+    def event(i, stage, status):
+        return Row(trip_id=str(i), stage=stage, at=1_700_000_000 + i, status=status, rider_id=i, origin_zone=1,
+                   destination_zone=None, message="")
+
+    store, statuses = Store(), states.LatestStatus(3_600_000)
+    statuses.init(store)
+    first = list(statuses.handleInputRows((0,), iter([event(i, i % 2, "ab"[i % 2]) for i in range(1000)]), store))
+    assert sorted((int(r.trip_id), r.version, r.status) for r in first) == [(i, 1, "ab"[i % 2]) for i in range(1000)]
+    second = list(statuses.handleInputRows((0,), iter([event(i, 1 - i % 2, "ba"[i % 2]) for i in range(1000)]), store))
+    assert sorted((int(r.trip_id), r.version, r.status) for r in second) == [(i, 2, "b") for i in range(0, 1000, 2)]
+    assert store.calls <= 10
+    store.watermark = min(store.timers) + 499_000
+    assert list(statuses.handleExpiredTimer((0,), store, None)) == []
+    assert sorted(int(trip) for part in store.parts for trip in part[0]) == list(range(500, 1000))
+    assert max(store.timers) > store.watermark
+    late = list(statuses.handleInputRows((0,), iter([event(0, 1, "b"), event(998, 1, "c")]), store))
+    assert [(r.trip_id, r.version) for r in late] == [("0", 1), ("998", 3)]

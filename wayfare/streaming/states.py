@@ -1,10 +1,17 @@
-"""Streams whose keys keep state that expires: a taxi's usable pings, a trip's latest status."""
+"""Streams whose keys keep state that expires: a taxi's usable pings, a trip's latest status.
+
+Every call of the state store from Python is a round trip to the JVM. So keys share a state: they are dealt
+by hash to ``SHARDS`` shards, and the state of a shard is a list of parts, each with the columns of up to
+``AT_ONCE`` rows as arrays, so that the calls go with the shards and the parts, not with keys or rows. A task holds
+the rows of one shard at a time. A checkpoint goes with its number of shards.
+"""
 
 from __future__ import annotations
 
+from itertools import islice
 from typing import Any, Iterator
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wayfare.functions.times import event_timestamp, millis_of
@@ -13,12 +20,44 @@ from wayfare.operators.matching import HORIZON
 from wayfare.operators.serving import STATUS_FIELDS, status_events
 from wayfare.session import ship
 
+SHARDS = 1024
+AT_ONCE = 10_000
+
 _PING = "event_time bigint, latitude double, longitude double, speed double, status string, zone_id int"
 INTERVAL = f"city string, taxi_id int, {_PING}, until bigint"
 STATUS = ("trip_id string, version int, status string, rider_id int, origin_zone int, destination_zone int, "
           "message string")
 
 
+def _shard(*key: str, shards: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(shards)).cast("int")
+
+
+def _parts(fields: str) -> str:
+    """The type of a part for such rows."""
+    named = (field.split() for field in fields.split(","))
+    return ", ".join(f"{name} array<{kind}>" for name, kind in named)
+
+
+def _held(state: Any) -> Iterator[tuple]:
+    for part in state.get():
+        yield from zip(*part)
+
+
+def _append(state: Any, rows: Iterator[tuple]) -> None:
+    while some := list(islice(rows, AT_ONCE)):
+        state.appendValue(tuple(map(list, zip(*some))))
+
+
+def _replace(state: Any, rows: list[tuple]) -> None:
+    state.clear()
+    _append(state, iter(rows))
+
+
+def _rank(event: tuple) -> list:
+    return [(x is not None, x) for x in event]
+
+
 class PingIntervals(StatefulProcessor):
     """The pings of one taxi that the watermark has not passed by the horizon yet.
 
@@ -75,48 +114,74 @@ def ping_interval_stream(pings: DataFrame, delay: str, horizon: int = HORIZON) -
 
 
 class LatestStatus(StatefulProcessor):
-    """The status of one trip: a decision outranks a request, then the later one counts, whatever order they
-    come in. The state leaves some time after its last change, by event time."""
+    """The statuses of a shard's trips: a decision outranks a request, then the later one counts, whatever order
+    they come in. A trip's state leaves some time after its last change, by event time.
+
+    The state is a list to which changes are appended, a trip's last row counts; it is written anew when rows
+    leave or most of them no longer count.
+    """
 
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "stage int, at bigint, version int, " + STATUS.split(", ", 2)[2])
+        self.last = handle.getListState(
+            "last", _parts("trip_id string, stage int, at bigint, version int, " + STATUS.split(", ", 2)[2]))
+
+    def _leaves(self, event: tuple) -> int:
+        return millis_of(event[2]) + self.keep_ms
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        def rank(event: tuple) -> list:
-            return [(x is not None, x) for x in event]
-
-        best = max(((r.stage, r.at, *(r[name] for name in STATUS_FIELDS)) for r in rows), key=rank)
-        known = self.last.get() if self.last.exists() else None
-        version = 1
-        if known is not None:
-            version = known[2] + 1
-            if rank(best) <= rank((known[0], known[1], *known[3:])):
-                return
-        self.last.update((best[0], best[1], version, *best[2:]))
-        self.handle.registerTimer(millis_of(best[1]) + self.keep_ms)
-        yield Row(trip_id=key[0], version=version, **dict(zip(STATUS_FIELDS, best[2:])))
+        best: dict[str, tuple] = {}
+        for r in rows:
+            event = (r.stage, r.at, *(r[name] for name in STATUS_FIELDS))
+            if r.trip_id not in best or _rank(event) > _rank(best[r.trip_id]):
+                best[r.trip_id] = event
+        known: dict[str, tuple] = {}
+        held = 0
+        for event in _held(self.last):
+            held += 1
+            known[event[0]] = event
+        changed = []
+        for trip, event in best.items():
+            old = known.get(trip)
+            if old is None or _rank(event) > _rank((old[1], old[2], *old[4:])):
+                changed.append((trip, *event[:2], 1 if old is None else old[3] + 1, *event[2:]))
+        if not changed:
+            return
+        known.update((event[0], event) for event in changed)
+        if held + len(changed) > 2 * len(known):
+            _replace(self.last, list(known.values()))
+        else:
+            _append(self.last, iter(changed))
+        self.handle.registerTimer(min(map(self._leaves, changed)))
+        for event in changed:
+            yield Row(trip_id=event[0], version=event[3], **dict(zip(STATUS_FIELDS, event[4:])))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        known = self.last.get() if self.last.exists() else None
-        if known is not None and millis_of(known[1]) + self.keep_ms <= expiredTimerInfo.getExpiryTimeInMs():
-            self.last.clear()
+        until = timerValues.getCurrentWatermarkInMs()
+        known = {event[0]: event for event in _held(self.last)}
+        stay = [event for event in known.values() if self._leaves(event) > until]
+        if len(stay) < len(known):  # else they have left with an earlier timer, or a trip has changed since
+            _replace(self.last, stay)
+        if stay:  # an hour's trips leave together
+            self.handle.registerTimer(max(min(map(self._leaves, stay)), until + min(self.keep_ms, 3_600_000)))
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def latest_status_stream(requests: DataFrame, matches: DataFrame, delay: str, keep_hours: int = 24) -> DataFrame:
+def latest_status_stream(requests: DataFrame, matches: DataFrame, delay: str, keep_hours: int = 24,
+                         shards: int = SHARDS) -> DataFrame:
     """``serving.latest_status`` for streams of requests and decisions: a row whenever a trip's status changes,
     ``version`` counts them. Consumers keep the row of the highest version. Events behind the watermark, or
     without a time, are dropped."""
     ship(requests.sparkSession)
     events = status_events(requests, matches).withColumn("event_ts", event_timestamp(F.col("at"))).dropna(subset=["at"])
-    return events.withWatermark("event_ts", delay).groupBy("trip_id").transformWithState(
+    events = events.withWatermark("event_ts", delay).withColumn("shard", _shard("trip_id", shards=shards))
+    return events.groupBy("shard").transformWithState(
         statefulProcessor=LatestStatus(keep_hours * 3_600_000), outputStructType=STATUS, outputMode="append",
         timeMode="EventTime")
 
