@@ -360,3 +360,20 @@ def test_status_calls_go_with_shards_not_trips():
     assert max(store.timers) > store.watermark
     late = list(statuses.handleInputRows((0,), iter([event(0, 1, "b"), event(998, 1, "c")]), store))
     assert [(r.trip_id, r.version) for r in late] == [("0", 1), ("998", 3)]
+
+
+def test_ping_calls_go_with_shards_not_taxis():
+    pings = [(taxi, 1_700_000_000 + 7 * taxi % 30 + 50 * k) for taxi in range(100) for k in range(10)]
+    store, intervals = Store(), states.PingIntervals(120)
+    intervals.init(store)
+    for part in (pings[::2], pings[1::2]):
+        list(intervals.handleInputRows((0,), iter([Row(
+            city="X", taxi_id=taxi, event_time=at, latitude=1.0, longitude=2.0, speed=None, status="AVAILABLE", zone_id=1)
+            for taxi, at in reversed(part)]), store))
+    out = []
+    for store.watermark in (1_700_000_400_000, 1_700_000_400_000, 1_700_009_000_000):
+        out.append([(r.taxi_id, r.event_time, r.until) for r in intervals.handleExpiredTimer((0,), store, None)])
+    assert out[0] and not out[1] and all(at + 120 <= 1_700_000_400 for _, at, _ in out[0])
+    ends = {(taxi, at): at + (50 if (taxi, at + 50) in set(pings) else 120) for taxi, at in pings}
+    assert sorted(out[0] + out[2]) == sorted((taxi, at, end) for (taxi, at), end in ends.items())
+    assert store.calls <= 16 and not store.parts

@@ -59,7 +59,7 @@ def _rank(event: tuple) -> list:
 
 
 class PingIntervals(StatefulProcessor):
-    """The pings of one taxi that the watermark has not passed by the horizon yet.
+    """The pings of a shard's taxis that the watermark has not passed by the horizon yet.
 
     A ping is put out when it expires: by then the watermark has passed everything that could
     end its interval, so the order of arrival does not matter and nothing is taken back.
@@ -70,45 +70,54 @@ class PingIntervals(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", _PING)
+        self.held = handle.getListState("held", _parts("city string, taxi_id int, " + _PING))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        fresh = [(r.event_time, r.latitude, r.longitude, r.speed, r.status, r.zone_id) for r in rows]
-        self.held.appendList(fresh)
-        self.handle.registerTimer((min(ping[0] for ping in fresh) + self.horizon) * 1000)
+        first = None
+
+        def fresh() -> Iterator[tuple]:
+            nonlocal first
+            for r in rows:
+                ping = (r.city, r.taxi_id, r.event_time, r.latitude, r.longitude, r.speed, r.status, r.zone_id)
+                first = ping[2] if first is None else min(first, ping[2])
+                yield ping
+
+        _append(self.held, fresh())
+        self.handle.registerTimer((first + self.horizon) * 1000)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         until = timerValues.getCurrentWatermarkInMs() // 1000
-        pings = sorted((tuple(p) for p in self.held.get()),
-                       key=lambda p: [(x is not None, x) for x in p])
-        open_ = [p for p in pings if p[0] + self.horizon > until]
+        pings = sorted(_held(self.held), key=_rank)
+        open_ = [p for p in pings if p[2] + self.horizon > until]
+        if len(open_) == len(pings):  # an earlier timer of the batch has put them out
+            return
+        _replace(self.held, open_)
         if open_:
-            self.held.put(open_)
-            self.handle.registerTimer((open_[0][0] + self.horizon) * 1000)
-        else:
-            self.held.clear()
+            self.handle.registerTimer((min(p[2] for p in open_) + self.horizon) * 1000)
         for ping, after in zip(pings, [*pings[1:], None]):
-            end = min(ping[0] + self.horizon, after[0] if after else ping[0] + self.horizon)
-            if ping[0] + self.horizon <= until and ping[4] in ELIGIBLE and end > ping[0]:
-                yield Row(city=key[0], taxi_id=key[1], event_time=ping[0], latitude=ping[1], longitude=ping[2],
-                          speed=ping[3], status=ping[4], zone_id=ping[5], until=end)
+            end = ping[2] + self.horizon
+            if after and after[:2] == ping[:2]:
+                end = min(end, after[2])
+            if ping[2] + self.horizon <= until and ping[6] in ELIGIBLE and end > ping[2]:
+                yield Row(city=ping[0], taxi_id=ping[1], event_time=ping[2], latitude=ping[3], longitude=ping[4],
+                          speed=ping[5], status=ping[6], zone_id=ping[7], until=end)
 
     def close(self) -> None:
         pass
 
 
-def ping_interval_stream(pings: DataFrame, delay: str, horizon: int = HORIZON) -> DataFrame:
+def ping_interval_stream(pings: DataFrame, delay: str, horizon: int = HORIZON, shards: int = SHARDS) -> DataFrame:
     """``matching.ping_intervals`` for a stream of pings (event times in seconds): each eligible ping with the
     second its taxi stops standing there, as soon as the watermark passes the ping's horizon.
 
     The state of a taxi are its pings of the horizon and the delay; it is empty when the taxi has been
-    silent for so long. Taxis are keys of their own, so a city is spread over its fleet.
+    silent for so long. A city's fleet is spread over the shards.
     """
     ship(pings.sparkSession)
     if "event_ts" not in pings.columns:
         pings = pings.withColumn("event_ts", event_timestamp(F.col("event_time"), "s")).withWatermark("event_ts", delay)
-    return pings.groupBy("city", "taxi_id").transformWithState(
+    return pings.withColumn("shard", _shard("city", "taxi_id", shards=shards)).groupBy("shard").transformWithState(
         statefulProcessor=PingIntervals(horizon), outputStructType=INTERVAL, outputMode="append",
         timeMode="EventTime")
 
